@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scrimtally.session import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
 
@@ -41,6 +43,11 @@ class Registry:
     def add(self, name: str, query: Query, sql: str | None = None) -> None:
         if name in self.queries:
             raise ValueError(f"{name} is registered twice")
-        self.queries[name] = lambda spark, sf: rounded(query(spark, sf))
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            tune(spark)
+            return rounded(query(spark, sf_dir))
+
+        self.queries[name] = run
         if sql is not None:
             self.sql[name] = sql

@@ -24,16 +24,14 @@ def ratio(num: Column | str, den: Column | str, on_zero: str = "inf") -> Column:
     ``x / 0`` is an infinity with the sign of ``x`` and ``0 / 0`` is null;
     ``on_zero="null"`` gives null for every zero denominator.
     """
+    if on_zero not in ("inf", "null"):
+        raise ValueError(f"on_zero must be 'inf' or 'null', got {on_zero!r}")
     n, d = _col(num).cast("double"), _col(den).cast("double")
     safe = F.try_divide(n, d)
     if on_zero == "null":
         return safe
-    if on_zero != "inf":
-        raise ValueError(f"on_zero must be 'inf' or 'null', got {on_zero!r}")
-    infinite = F.when((d == 0) & (n > 0), F.lit(float("inf"))).when(
-        (d == 0) & (n < 0), F.lit(float("-inf"))
-    )
-    return F.coalesce(safe, infinite)
+    infinite = F.when(n > 0, F.lit(float("inf"))).when(n < 0, F.lit(float("-inf")))
+    return F.when(d == 0, infinite).otherwise(safe)
 
 
 def kda(kills: Column | str, deaths: Column | str, assists: Column | str) -> Column:
@@ -42,7 +40,8 @@ def kda(kills: Column | str, deaths: Column | str, assists: Column | str) -> Col
     ``greatest`` would skip a null ``deaths``, so the lower clip is a CASE.
     """
     d = _col(deaths)
-    return ratio(_col(kills) + _col(assists), F.when(d < 1, F.lit(1)).otherwise(d))
+    clipped = F.when(d < 1, F.lit(1)).otherwise(d)
+    return ratio(_col(kills) + _col(assists), clipped, on_zero="null")
 
 
 def per_minute(amount: Column | str, minutes: Column | str) -> Column:
@@ -50,18 +49,26 @@ def per_minute(amount: Column | str, minutes: Column | str) -> Column:
 
 
 def add_metrics(df: DataFrame) -> DataFrame:
-    """Add the derived measures; ``cs_per_min`` only if minions are present."""
-    minutes = ratio("game_duration_sec", F.lit(60))
-    derived = {
-        "kda": kda("kills", "deaths", "assists"),
-        "game_duration_min": minutes,
-        "damage_per_min": per_minute("total_damage_dealt_to_champions", minutes),
-        "gold_per_min": per_minute("gold_earned", minutes),
-        "vision_per_min": per_minute("vision_score", minutes),
+    """Add the derived measures; ``cs_per_min`` only if minions are present.
+
+    Minutes are their own step: the measures then refer to the column, and the
+    generated code stays in pieces small enough for the JIT compiler.
+    """
+    timed = df.withColumn("game_duration_min", ratio("game_duration_sec", F.lit(60), "null"))
+    amounts = {
+        "damage_per_min": "total_damage_dealt_to_champions",
+        "gold_per_min": "gold_earned",
+        "vision_per_min": "vision_score",
+        "cs_per_min": "total_minions_killed",
     }
-    if "total_minions_killed" in df.columns:
-        derived["cs_per_min"] = per_minute("total_minions_killed", minutes)
-    return df.withColumns(derived)
+    return timed.withColumns(
+        {"kda": kda("kills", "deaths", "assists")}
+        | {
+            name: per_minute(amount, "game_duration_min")
+            for name, amount in amounts.items()
+            if amount != "total_minions_killed" or amount in df.columns
+        }
+    )
 
 
 def share_of_wins(win: Column | str) -> Column:
@@ -173,14 +180,13 @@ def normalize_id(value: Column | str) -> Column:
 def to_long(value: Column | str) -> Column:
     """64-bit integer or null. Fractions round; integral floats in text are accepted."""
     v = _col(value)
-    number = v.try_cast("double")
-    rounded = F.when(F.typeof(v).isin("double", "float"), F.rint(number)).otherwise(
-        F.round(number)
-    )
-    whole = F.when(
-        ~F.typeof(v).isin("double", "float"), v.try_cast("bigint")
+    kind, number = F.typeof(v), v.try_cast("double")
+    # the type tests are constants of the plan: one branch is left
+    return (
+        F.when(kind.isin("bigint", "int", "smallint", "tinyint"), v.try_cast("bigint"))
+        .when(kind.isin("double", "float"), F.rint(number).try_cast("bigint"))
+        .otherwise(F.coalesce(v.try_cast("bigint"), F.round(number).try_cast("bigint")))
     )
-    return F.coalesce(whole, rounded.try_cast("bigint"))
 
 
 def _instant_to_utc(instant: Column) -> Column:

@@ -12,7 +12,7 @@ from .. import schemas as S
 from ..functions import result_label, share_of_wins
 from ..functions.columns import count_wins
 
-HOT_SHARE = 100
+HOT_IDS = 100
 
 
 def match_sizes(df: DataFrame) -> DataFrame:
@@ -23,18 +23,21 @@ def match_sizes(df: DataFrame) -> DataFrame:
 def complete_matches(df: DataFrame, group_size: int = 10) -> DataFrame:
     """Rows of matches with exactly ``group_size`` rows; null match keys drop out.
 
-    A match id that holds at least 1/100 of all rows can not be complete, and
-    there are at most 100 such ids. They are taken out by a broadcast of that
-    bounded list before the rows are shuffled, so no task ever receives them.
+    The sizes are counted with a map-side combine. The ``HOT_IDS`` largest of
+    the oversized matches can not be complete: their rows are dropped by a
+    broadcast of that fixed-size list before any row is shuffled. Every other
+    match id then holds less than 1/``HOT_IDS`` of the rows.
     """
-    sizes = match_sizes(df)
-    total = sizes.select(F.sum("participants")).scalar()
-    hot = sizes.filter(
-        (F.col("participants") > group_size)
-        & (F.col("participants") * HOT_SHARE >= total)
-    ).select(*S.MATCH_KEY)
+    keyed = df.filter(F.col("data_source").isNotNull() & F.col("match_id").isNotNull())
+    sizes = match_sizes(keyed)
+    hot = (
+        sizes.filter(F.col("participants") > group_size)
+        .orderBy(F.desc("participants"), *S.MATCH_KEY)
+        .limit(HOT_IDS)
+        .select(*S.MATCH_KEY)
+    )
     complete = sizes.filter(F.col("participants") == group_size).select(*S.MATCH_KEY)
-    return df.join(F.broadcast(hot), S.MATCH_KEY, "left_anti").join(
+    return keyed.join(F.broadcast(hot), S.MATCH_KEY, "left_anti").join(
         complete, S.MATCH_KEY, "left_semi"
     )
 

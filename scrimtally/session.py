@@ -17,7 +17,8 @@ SETTINGS = {
     # sides below this measured size are broadcast, all others are shuffled
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
-    "spark.sql.parquet.filterPushdown": "true",
+    # wide projections: methods beyond the JIT limit run interpreted, so let Spark split them
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -36,6 +37,21 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, **extra) -> Spa
     return builder.getOrCreate()
 
 
+# settings that may be changed while a session runs
+_RUNTIME = (
+    "spark.sql.adaptive.forceOptimizeSkewedJoin",
+    "spark.sql.codegen.hugeMethodLimit",
+)
+
+
+def tune(spark: SparkSession) -> None:
+    """Apply the run-time settings to a session that does not set them itself."""
+    given = spark.sparkContext.getConf()
+    for key in _RUNTIME:
+        if not given.contains(key):
+            spark.conf.set(key, SETTINGS[key])
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
