@@ -275,13 +275,13 @@ GROUP BY champion_name ORDER BY games DESC, champion_name LIMIT 20""",
     # ---- counts of matches --------------------------------------------------
     version = "split_part(game_version, '.', 1) || '.' || split_part(game_version, '.', 2)"
     for name, key, column, expr in (
-        ("matches_per_tier", F.col("source_tier"), "source_tier", "source_tier"),
-        ("matches_per_source", F.col("data_source"), "data_source", "data_source"),
-        ("matches_per_patch", patch_prefix("game_version"), "patch", version),
+        ("matches_per_tier", F.col, "source_tier", "source_tier"),
+        ("matches_per_source", F.col, "data_source", "data_source"),
+        ("matches_per_patch", lambda _: patch_prefix("game_version"), "patch", version),
     ):
         add(
             name,
-            lambda s, d, key=key, column=column: A.matches_per(common(s, d), key, column),
+            lambda s, d, key=key, column=column: A.matches_per(common(s, d), key(column), column),
             with_tables(
                 f"SELECT {expr} AS {column}, COUNT(DISTINCT match_id) AS matches FROM common WHERE {expr} IS NOT NULL GROUP BY 1",
                 "common",

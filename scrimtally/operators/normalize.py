@@ -71,7 +71,7 @@ def normalize(
     if clean_roles:
         fallback = F.col(role_fallback) if role_fallback else None
         added["team_position"] = clean_role("team_position", fallback)
-    if start_millis is not None and "game_start_utc" not in out.columns:
+    if start_millis in out.columns and "game_start_utc" not in out.columns:
         added["game_start_utc"] = millis_to_utc(start_millis)
     out = out.withColumns(added)
     if metrics:
@@ -103,9 +103,8 @@ def normalize_documents(
 ) -> DataFrame:
     """The bulk source: raw match documents, ranked queue only."""
     return normalize(
-        flatten_matches(raw, json_col, source_tier=source),
+        flatten_matches(raw, json_col, source_tier=source, queue=S.RANKED_QUEUE),
         source,
-        queue=S.RANKED_QUEUE,
         clean_roles=True,
         metrics=True,
         start_millis="game_start_timestamp",

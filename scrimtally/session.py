@@ -22,14 +22,23 @@ SETTINGS = {
 }
 
 
+# The test tables are single files of one row group, read by one task each. Joins
+# that shuffle spread the work over all cores; small dimensions are still broadcast.
+LOCAL = {
+    "spark.sql.autoBroadcastJoinThreshold": "1m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "1m",
+    "spark.ui.enabled": "false",
+    "spark.driver.memory": "8g",
+}
+
+
 def local_session(cores: str = "8", shuffle_partitions: int = 8, **extra) -> SparkSession:
     """A session for tests and the local bench; clusters bring their own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("scrimtally")
     conf = {
         **SETTINGS,
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
-        "spark.ui.enabled": "false",
-        "spark.driver.memory": "8g",
+        **LOCAL,
         **extra,
     }
     for key, value in conf.items():
@@ -58,12 +67,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     ``spark.checkpoint.dir`` is read from the session. A local temporary folder
     is used only where the session names none and runs on this machine alone.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        checkpoint = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = checkpoint.get() if checkpoint.isDefined() else None
+    context = spark.sparkContext
+    base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
