@@ -264,8 +264,7 @@ FROM common WHERE data_source = 'O' GROUP BY champion_name""",
     )
     add(
         "popular_champions",
-        lambda s, d: A.champion_stats_single(one_source(s, d), 0)
-        .orderBy(F.desc("games"), "champion_name").limit(20).select("champion_name", "games"),
+        lambda s, d: A.popular_champions(one_source(s, d)),
         with_tables(
             """SELECT champion_name, COUNT(DISTINCT match_id) AS games FROM common WHERE data_source = 'O'
 GROUP BY champion_name ORDER BY games DESC, champion_name LIMIT 20""",

@@ -383,6 +383,14 @@ def register(reg: Registry) -> None:
         + f"""SELECT league_id, league_points, {r('CAST(wins AS DOUBLE) / (wins + losses)', 'winrate')}
 FROM ladder WHERE wins + losses > 0""",
     )
+    add(
+        "top_ladder_players",
+        lambda s, d: D.top_ladder_players(ladder(s, d).filter(F.col("puuid").isNotNull()), 25).select(
+            "league_id", "puuid", "league_points"
+        ),
+        LADDER_SQL
+        + "SELECT league_id, puuid, league_points FROM ladder WHERE puuid IS NOT NULL ORDER BY league_points DESC, puuid LIMIT 25",
+    )
     add(
         "fill_missing_ids",
         lambda s, d: D.fill_missing_ids(ladder(s, d), accounts(s, d)).select(

@@ -207,6 +207,16 @@ def champion_stats_single(df: DataFrame, min_games: int = 10) -> DataFrame:
     )
 
 
+def popular_champions(df: DataFrame, top: int = 20) -> DataFrame:
+    """The most played champions of one source."""
+    return (
+        champion_stats_single(df, 0)
+        .select("champion_name", "games")
+        .orderBy(F.desc("games"), "champion_name")
+        .limit(top)
+    )
+
+
 def champion_stats_percent(df: DataFrame) -> DataFrame:
     """Games as filled rows and the win rate in percent."""
     return (

@@ -33,22 +33,18 @@ def item_stats(
 ) -> DataFrame:
     """Purchases, win rate and Wilson lower bound per source and item.
 
-    Both sides are counted per participant key before they meet and the counts
-    are multiplied: a key that occurs on many rows gives the same totals as the
-    row-by-row join without its product of rows. Names join after the items
-    are aggregated.
+    Facts are counted per participant key before the join, so every bridge row
+    meets at most one row. A key on many fact rows gives the same totals as
+    the row-by-row join without its product of rows, and a hot key of the
+    bridge can be split over tasks. Names join after the items are aggregated.
     """
-    bought = bridge.groupBy(*S.PARTICIPANT_KEY, "item_id").agg(F.count("*").alias("bought"))
     outcome = fact.groupBy(*S.PARTICIPANT_KEY).agg(
         F.count("*").alias("copies"), count_wins("win").alias("won")
     )
     per_item = (
-        bought.join(outcome, S.PARTICIPANT_KEY)
+        bridge.join(outcome, S.PARTICIPANT_KEY)
         .groupBy("data_source", "item_id")
-        .agg(
-            F.sum(F.col("bought") * F.col("copies")).alias("purchases"),
-            F.sum(F.col("bought") * F.col("won")).alias("won"),
-        )
+        .agg(F.sum("copies").alias("purchases"), F.sum("won").alias("won"))
     )
     named = per_item.join(dim_item.select("item_id", "item_name", "gold_total"), "item_id", "left")
     low, _ = wilson_bounds("winrate", "purchases")
