@@ -12,7 +12,7 @@ from scrimtally.operators.normalize import started_between
 from scrimtally.plans.stages import union_sources
 
 from .common import Registry, avgs, r
-from .order_matches import GROUP_SIZE, SOURCES, common, participants, with_tables
+from .order_matches import GROUP_SIZE, SOURCES, common, participants, store_common, with_tables
 
 RATES = ("kda", "damage_per_min", "gold_per_min", "vision_per_min")
 RESULT = (*RATES, "kills", "deaths", "assists")
@@ -107,6 +107,16 @@ PROFILED = ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag", "l_shipdate
 
 def register(reg: Registry) -> None:
     add = reg.add
+    stored = ["data_source", "match_id", "participant_id", "puuid", "team_position", "kda", "gold_per_min", "item6"]
+    add(
+        "common_table",
+        lambda s, d: store_common(s, d).select(*stored),
+        with_tables(
+            f"""SELECT data_source, match_id, participant_id, puuid, team_position, {r('kda', 'kda')},
+  {r('gold_per_min', 'gold_per_min')}, item6 FROM common""",
+            "common",
+        ),
+    )
     # ---- completeness -------------------------------------------------------
     slim = ["data_source", "match_id", "participant_id", "champion_name", "team_position", "win", "kda"]
     slim_sql = f"data_source, match_id, participant_id, champion_name, team_position, win, {r('kda', 'kda')}"

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from scrimtally.functions import add_metrics, clean_role
 from scrimtally.schemas import ITEM_SLOTS
+from scrimtally.session import scratch_dir
+from scrimtally.sources import write_parquet
 
 GROUP_SIZE = 4
 SOURCES = ["F", "O", "P"]
@@ -96,12 +98,36 @@ def participants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def common(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derived_common(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Participants with clean roles and derived measures."""
     raw = participants(spark, sf_dir)
     return add_metrics(raw.withColumn("team_position", clean_role("team_position")))
 
 
+_stored: dict[tuple[str, str], DataFrame] = {}
+
+
+def store_common(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the common table of the given tables, laid out by source."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    _stored[key] = write_parquet(
+        derived_common(spark, sf_dir),
+        f"{scratch_dir(spark, 'common')}/all_matches_common.parquet",
+        partition_by=["data_source"],
+    )
+    return _stored[key]
+
+
+def common(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored common table; written once per application and input folder.
+
+    Aggregates, the quality gate and the star read the stored table, as they
+    do outside of this registry.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    return _stored[key] if key in _stored else store_common(spark, sf_dir)
+
+
 def champions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brands as champion reference: ids 1 to 25, so some champions are unknown to it."""
     return (
