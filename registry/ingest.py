@@ -98,7 +98,7 @@ def _player_sql(number: int, key: str, win: str) -> str:
   o_orderdate AS game_start_utc, l_partkey % 1500 + 600 AS game_duration_sec,
   '16.' || CAST(EXTRACT(MONTH FROM o_orderdate) AS VARCHAR) || '.3' AS game_version,
   CASE WHEN l_partkey % 89 <> 0 THEN 11 END AS map_id,
-  CASE WHEN o_custkey % 10 = 0 THEN 450 ELSE 420 END AS queue_id, {number} AS participant_id,
+  CASE WHEN o_custkey % 10 = 0 THEN 450 ELSE 420 END AS queue_id, CAST({number} AS BIGINT) AS participant_id,
   '{key}-' || CAST({key} AS VARCHAR) AS puuid, 'name ' || CAST({key} AS VARCHAR) AS riot_id_game_name,
   ({key} + {number}) % 30 AS champion_id, 'Champion ' || CAST(({key} + {number}) % 30 AS VARCHAR) AS champion_name,
   {100 * number} AS team_id, {win} AS win,
