@@ -18,7 +18,7 @@ without an id take no part; a vector is compared with those of its own length;
 repeated rows are candidates each, and a query leaves out only its own row;
 fewer candidates than k give fewer rows; an empty table gives an empty result;
 further columns are ignored. Scores beyond 2^53 are summed with exact integers;
-a score beyond 64 bits is an error.
+a score of 2^61 or more is an error.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ from scrimtally.llm.base import stored
 CANDIDATE_BLOCK = 4096
 QUERY_BLOCK = 1024
 BINS = 512
+LIMIT = 2**61
 
 
 def quantised(vector: Column, scale: int) -> Column:
@@ -76,11 +77,11 @@ def _product(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     if reach < 2**53:
         # every partial sum is an integer that a double holds exactly
         return (queries.astype(np.float64) @ candidates.astype(np.float64).T).astype(np.int64)
-    if reach < 2**63:
+    if reach < LIMIT:
         return queries @ candidates.T
     exact = queries.astype(object) @ candidates.astype(object).T
-    if exact.size and max(abs(int(x)) for x in exact.flat) >= 2**63:
-        raise OverflowError("a score needs more than 64 bits")
+    if exact.size and max(abs(int(x)) for x in exact.flat) >= LIMIT:
+        raise OverflowError("a score is too large")
     return exact.astype(np.int64)
 
 
@@ -216,7 +217,7 @@ def top_k(
     right = candidates.withColumnRenamed("block", "cb").join(pairs.drop("dim"), "cb")
 
     # |score| <= the longest vector's square, by Cauchy and Schwarz
-    start = -(int(longest or 0) + 1)
+    start = -min(int(longest or 0) + 1, LIMIT)
     width = 1
     while width * bins < 1 - 2 * start:
         width *= bins
