@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrimtally.llm import sentencepiece, sharding, top_k
+from scrimtally.llm import html_text, sentencepiece, sharding, top_k, url_filter
 from scrimtally.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,10 +20,27 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), 24)
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.token_digests(table(spark, sf_dir, "documents"), model_path())
 
@@ -33,7 +50,9 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": op1_url_filter,
     "op2_sharding": op2_sharding,
+    "op4_html_text": op4_html_text,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_top_k": op10_top_k,
 }
