@@ -156,11 +156,14 @@ def cut_off(histogram: pd.DataFrame) -> float:
     table = table.sort_index()
     accepted_below = table[0].cumsum() / table[0].sum()
     rejected_below = table[1].cumsum() / table[1].sum()
-    # between each bin and the next one; of equal cut-offs the one nearest to 0
     gain = (rejected_below - accepted_below).to_numpy()
-    edges = (table.index.to_numpy() + 1) * STEP
+    # the middle between each bin's upper end and the next bin's lower end
+    lower = (table.index.to_numpy() + 1) * STEP
+    upper = np.append(table.index.to_numpy()[1:] * STEP, lower[-1])
+    middle = (lower + upper) / 2
     best = np.flatnonzero(gain >= gain.max() - 1e-12)
-    return float(edges[best[np.argmin(np.abs(edges[best]))]])
+    # of equally good ones the one nearest to 0
+    return float(middle[best[np.argmin(np.abs(middle[best]))]])
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], id_column: str = "page_id") -> DataFrame:
