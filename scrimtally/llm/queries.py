@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrimtally.llm import html_text, sentencepiece, sharding, top_k, url_filter
+from scrimtally.llm import html_text, pii, sentencepiece, sharding, top_k, toxicity, url_filter
 from scrimtally.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,14 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.token_digests(table(spark, sf_dir, "documents"), model_path())
 
@@ -53,6 +61,8 @@ QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_sharding": op2_sharding,
     "op4_html_text": op4_html_text,
+    "op6_toxicity": op6_toxicity,
+    "op7_pii": op7_pii,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_top_k": op10_top_k,
 }
