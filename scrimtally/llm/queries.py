@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrimtally.llm import html_text, pii, sentencepiece, sharding, top_k, toxicity, url_filter
+from scrimtally.llm import html_text, near_duplicates, pii, sentencepiece, sharding, top_k, toxicity, url_filter
 from scrimtally.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.token_digests(table(spark, sf_dir, "documents"), model_path())
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).drop("set_key")
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.top_k(table(spark, sf_dir, "embeddings"), 5, F.col("vec_id") % 50 == 0)
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op6_toxicity": op6_toxicity,
     "op7_pii": op7_pii,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_top_k": op10_top_k,
 }
 
