@@ -39,3 +39,20 @@ def documents(df: DataFrame) -> DataFrame:
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(col, UPPER, UPPER.lower())
+
+
+# values a bounded filter can tell apart
+FILTER = 1 << 19
+
+
+def passing(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose ``key`` (a hash) may be among the ``key`` values of ``wanted``.
+
+    Both sides fall into ``FILTER`` buckets, and the buckets in use are broadcast:
+    at most that many integers, on any input. Rows that cannot match go before
+    they are shuffled; the exact join comes after it.
+    """
+    bucket = F.pmod(F.col(key), F.lit(FILTER)).cast("int")
+    used = wanted.select(bucket.alias("__bucket")).distinct()
+    kept = rows.withColumn("__bucket", bucket)
+    return kept.join(F.broadcast(used), "__bucket", "left_semi").drop("__bucket")

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrimtally.llm.base import documents, stored
+from scrimtally.llm.base import documents, passing, stored
 from scrimtally.llm.components import components
 
 SHINGLE = 5
@@ -155,7 +155,7 @@ def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
             yield pd.DataFrame({"set_key": batch["set_key"], "hashes": [f.view(np.int64) for f in found]})
 
     keyed = documents(docs).select("text", F.xxhash64("text").alias("text_key"))
-    texts = keyed.join(needed, "text_key").dropDuplicates(["set_key"])
+    texts = passing(keyed, "text_key", needed).join(needed, "text_key").dropDuplicates(["set_key"])
     return texts.mapInPandas(build, "set_key binary, hashes array<bigint>")
 
 
@@ -265,5 +265,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Of repeated rows with that id and different texts all stay; equal rows are one.
     """
-    found = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["__id"]), "left_semi")
+    found = near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
+    # the same plan at every size
+    found = stored(found, "dropped").hint("merge")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["__id"]), "left_anti")

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrimtally.llm import html_text, near_duplicates, pii, sentencepiece, sharding, top_k, toxicity, url_filter
+from scrimtally.llm import (
+    decontamination,
+    html_text,
+    near_duplicates,
+    pii,
+    repeats,
+    sentencepiece,
+    sharding,
+    top_k,
+    toxicity,
+    url_filter,
+)
 from scrimtally.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,10 +48,19 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), 24)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("similarity", 6).alias("similarity"), "windows", "first_word")
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removed_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -64,7 +84,9 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_sharding": op2_sharding,
+    "op3_decontamination": op3_decontamination,
     "op4_html_text": op4_html_text,
+    "op5_repeats": op5_repeats,
     "op6_toxicity": op6_toxicity,
     "op7_pii": op7_pii,
     "op8_sentencepiece": op8_sentencepiece,
@@ -72,7 +94,34 @@ QUERIES: dict[str, Query] = {
     "op10_top_k": op10_top_k,
 }
 
+_WORDS = r"""list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '')"""
+
+
+def _shingle_rows(source: str) -> str:
+    """(id, m, p, s): the 5-word shingles of a table in order; none of shorter texts."""
+    return f"""SELECT id, m, p, list_slice(w, p + 1, p + 5) AS s
+      FROM (SELECT id, w, len(w) AS m, unnest(range(len(w) - 4)) AS p FROM {source} WHERE len(w) >= 5) AS t"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    # every window of a document that shares a shingle with the item; all items have five words or more
+    "op3_decontamination": f"""
+        WITH d AS (SELECT doc_id AS id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
+        i AS (SELECT item_id AS id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+        ds AS ({_shingle_rows("d")}), bs AS ({_shingle_rows("i")}),
+        bc AS (SELECT id, m, s, count(*) AS n FROM bs GROUP BY id, m, s),
+        hit AS (
+          SELECT ds.id AS did, ds.m AS nw, ds.p AS p, bc.id AS iid, bc.m AS m, bc.s AS s, bc.n AS n
+          FROM ds JOIN bc ON ds.s = bc.s WHERE ds.m >= bc.m),
+        win AS (
+          SELECT did, iid, m, s, n, unnest(range(greatest(0, p - m + 5), least(p, nw - m) + 1)) AS st FROM hit),
+        kept AS (SELECT did, iid, m, st, s, least(count(*), min(n)) AS nb FROM win GROUP BY did, iid, m, st, s),
+        judged AS (SELECT did, iid, m, st, sum(nb) AS nb FROM kept GROUP BY did, iid, m, st)
+        SELECT did AS doc_id, iid AS item_id, ROUND(max(nb / (2 * (m - 4) - nb)), 6) AS similarity,
+               count(*) AS windows, CAST(min(st) AS INT) AS first_word
+        FROM judged WHERE 100 * nb >= 75 * (2 * (m - 4) - nb) GROUP BY did, iid
+    """,
     # the quantised vectors as rows of numbers, all pairs, the five best of each query
     "op10_top_k": """
         WITH q AS (
