@@ -95,7 +95,7 @@ QUERIES: dict[str, Query] = {
 }
 
 _WORDS = r"""list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '')"""
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"""
 
 
 def _shingle_rows(source: str) -> str:
@@ -125,10 +125,10 @@ ORACLE_SQL: dict[str, str] = {
     # the quantised vectors as rows of numbers, all pairs, the five best of each query
     "op10_top_k": """
         WITH q AS (
-          SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+          SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
           FROM embeddings
           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-            AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), s AS (
           SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
                  CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
