@@ -120,21 +120,28 @@ def _anchored(texts: DataFrame) -> DataFrame:
 def _tests(texts: DataFrame, members: DataFrame) -> DataFrame:
     """(string, key, place, start, alone): every string of the given anchors."""
 
+    def joined(parts) -> pd.DataFrame:
+        names = ("string", "key", "place", "start", "alone")
+        return pd.DataFrame({n: np.concatenate(c) for n, c in zip(names, zip(*parts, strict=True), strict=True)})
+
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            parts, size = [], 0
             for row in batch.itertuples():
                 hashes = Hashes(_bytes(row.text))
-                for place, first, last, n in row.members:
-                    start = np.arange(first, last + 1)
-                    yield pd.DataFrame(
-                        {
-                            "string": hashes.of(start, start + LENGTH).view(np.int64),
-                            "key": row.key,
-                            "place": place,
-                            "start": start.astype(np.int32),
-                            "alone": n == 1,
-                        }
-                    )
+                values = np.array([list(m) for m in row.members], np.int64)
+                length = values[:, 2] - values[:, 1] + 1
+                owner = np.repeat(np.arange(len(values)), length)
+                start = np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length) + values[owner, 1]
+                string = hashes.of(start, start + LENGTH).view(np.int64)
+                alone = values[owner, 3] == 1
+                parts.append((string, np.full(len(owner), row.key, np.int64), values[owner, 0], start, alone))
+                size += len(owner)
+                if size > 200_000:
+                    yield joined(parts)
+                    parts, size = [], 0
+            if parts:
+                yield joined(parts)
 
     grouped = members.groupBy("key").agg(F.collect_list(F.array("place", "first", "last", F.least("n", F.lit(2)).cast("int"))).alias("members"))
     grouped = stored(grouped, "members")
@@ -145,12 +152,14 @@ def _tests(texts: DataFrame, members: DataFrame) -> DataFrame:
 def covered(texts: DataFrame) -> DataFrame:
     """(key, first, last): starts whose strings, and all between them, are covered."""
     found = stored(_anchored(texts), "anchors")
+    buckets = found.groupBy("gram").agg(F.count("*").alias("total")).filter("total > 1").select("gram")
+    # the same plan at every size
+    found = stored(found.join(stored(buckets, "buckets").hint("merge"), "gram"), "shared")
     member = F.struct("key", "place", "first", "last")
     classes = found.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(member).alias("member"))
     classes = stored(classes, "classes")
-    buckets = classes.groupBy("gram").agg(F.sum("n").alias("total"), F.count("*").alias("classes"))
-    shared = stored(buckets.filter("total > 1"), "buckets")
-    classes = stored(classes.join(shared, "gram"), "classes")
+    several = classes.groupBy("gram").agg(F.count("*").alias("classes"))
+    classes = stored(classes.join(several, "gram"), "classes")
     repeated = classes.filter("n > 1").select("gram", "context")
     whole = found.join(repeated, ["gram", "context"]).select("key", "first", "last")
     open_classes = classes.filter("classes > 1").select("n", "member.*")
