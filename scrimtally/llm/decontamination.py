@@ -45,9 +45,10 @@ def words_of(text: Column) -> Column:
 
 def shingles_of(words: Column, size: int) -> Column:
     """Hashes of the shingles in order; none where there are fewer words."""
-    n = F.size(words)
-    places = F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.xxhash64(F.slice(words, i, size)))
+    # shifted copies side by side: a function that looked into ``words`` would split the text for each place
+    n = F.greatest(F.size(words) - (size - 1), F.lit(0))
+    shifted = F.arrays_zip(*[F.slice(words, k + 1, n) for k in range(size)])
+    return F.transform(shifted, lambda s: F.xxhash64(F.array(*[s[str(k)] for k in range(size)])))
 
 
 def _least_shared(n: Column) -> Column:
