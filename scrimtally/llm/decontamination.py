@@ -95,18 +95,15 @@ def shared_weight(a: Column, b: Column) -> Column:
 def _windows(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
     """(doc_id, m, start, window, shingles) of the windows that enough anchors allow."""
     known = stored(items.select(F.explode("shingles").alias("h")).distinct(), "grams")
-    placed = texts.select("key", F.posexplode(shingles_of(words_of(F.col("text")), size)).alias("at", "h"))
-    anchors = placed.join(known, "h").groupBy("key").agg(F.array_sort(F.collect_set("at")).alias("anchors"))
-    anchors = stored(anchors, "anchors")
-    held = passing(texts, "key", anchors).join(anchors, "key")
-    held = held.groupBy("key", "doc_id").agg(F.first("text").alias("text"), F.first("anchors").alias("anchors"))
-    held = held.select("key", "doc_id", "anchors", shingles_of(words_of(F.col("text")), size).alias("all"))
-    held = stored(held, "anchored")
+    hashed = texts.select("key", shingles_of(words_of(F.col("text")), size).alias("all"))
+    placed = hashed.select("key", F.size("all").alias("n"), F.posexplode("all").alias("at", "h"))
+    anchors = passing(placed, "h", known).join(known, "h")
+    anchors = anchors.groupBy("key", "n").agg(F.array_sort(F.collect_set("at")).alias("anchors"))
     # distinct lengths of the items
     lengths = sorted(r.m for r in items.select("m").distinct().collect())
     if not lengths:
         lengths = [0]
-    spots = held.select("key", "doc_id", "anchors", F.size("all").alias("n"), F.posexplode("anchors").alias("i", "at"))
+    spots = anchors.select("key", "n", "anchors", F.posexplode("anchors").alias("i", "at"))
     spots = spots.withColumn("m", F.explode(F.array(*[F.lit(m) for m in lengths])))
     w = F.col("m") - (size - 1)
     spots = spots.withColumn("w", w).withColumn("c", _least_shared(F.col("w")))
@@ -117,10 +114,12 @@ def _windows(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
     low = F.greatest(before + 1, F.col("last") - F.col("w") + 1, F.lit(0))
     high = F.least(F.col("at"), F.col("n") - F.col("w"))
     spots = spots.withColumn("low", low).withColumn("high", high).filter("low <= high")
-    starts = spots.select("key", "doc_id", "m", F.explode(F.sequence("low", "high")).alias("start"))
-    chosen = starts.groupBy("key", "doc_id").agg(F.collect_list(F.struct("m", "start")).alias("chosen"))
-    chosen = chosen.select(F.col("key").alias("own"), F.col("doc_id").alias("own_id"), "chosen")
-    met = held.join(chosen, F.expr("key = own AND doc_id <=> own_id"))
+    starts = spots.select("key", "m", F.explode(F.sequence("low", "high")).alias("start"))
+    chosen = starts.groupBy("key").agg(F.collect_list(F.struct("m", "start")).alias("chosen"))
+    # only texts with a window left are read as a whole and moved
+    chosen = stored(chosen, "chosen")
+    held = passing(texts, "key", chosen).join(chosen, "key").dropDuplicates(["key", "doc_id"])
+    met = held.select("doc_id", "chosen", shingles_of(words_of(F.col("text")), size).alias("all"))
     cut = F.transform(
         "chosen",
         lambda x: F.struct(

@@ -122,7 +122,7 @@ def _signed(docs: DataFrame) -> DataFrame:
 
 
 def _crowd(classes: DataFrame) -> DataFrame:
-    """The rows (tree, label, set_key, n) whose neighbour in the tree's order shares LEAST values."""
+    """The rows (tree, label, set_key, n) whose neighbour in the tree's order may share LEAST values."""
     rows = classes.select("set_key", "n", F.posexplode("labels").alias("tree", "label"))
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = rows.repartitionByRange(parts, "tree", "label", "set_key")
@@ -130,8 +130,11 @@ def _crowd(classes: DataFrame) -> DataFrame:
     width = LEAST * UNIT
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, near_before = None, False
+        # a region may go on in the partition before or behind: rows at the edges stay
+        held, near_before = None, True
         for batch in batches:
+            if not len(batch):
+                continue
             if held is not None:
                 batch = pd.concat([held, batch], ignore_index=True)
             regions = [(t, bytes(x[:width])) for t, x in zip(batch["tree"], batch["label"], strict=True)]
@@ -140,7 +143,7 @@ def _crowd(classes: DataFrame) -> DataFrame:
             # the last row waits for the one behind it
             yield batch.iloc[:-1][near[:-1]]
             held, near_before = batch.iloc[-1:], bool(near[-1])
-        if held is not None and near_before:
+        if held is not None:
             yield held
 
     return order.mapInPandas(scan, "tree int, label binary, set_key binary, n bigint")
