@@ -31,24 +31,47 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrimtally.llm.base import ascii_lower, columns, documents, passing, stored
+from scrimtally.llm.base import UPPER, columns, documents, passing, stored
 
 SHINGLE = 5
 PERCENT = 75
 BITS = 64
 RADIUS = 23
+# bits of the constant that tells shingles of no item apart before they are exploded
+MAP = 1 << 19
+SPACES = "\t\n\x0b\x0c\r"
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(ascii_lower(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # one plain character to split at takes no regular expression
+    even = F.translate(text, UPPER + SPACES, UPPER.lower() + " " * len(SPACES))
+    return F.array_remove(F.split(even, " "), "")
 
 
 def shingles_of(words: Column, size: int) -> Column:
     """Hashes of the shingles in order; none where there are fewer words."""
-    # shifted copies side by side: a function that looked into ``words`` would split the text for each place
+    # each word is hashed once; hashes of shifted copies are folded together
     n = F.greatest(F.size(words) - (size - 1), F.lit(0))
-    shifted = F.arrays_zip(*[F.slice(words, k + 1, n) for k in range(size)])
-    return F.transform(shifted, lambda s: F.xxhash64(F.array(*[s[str(k)] for k in range(size)])))
+    hashed = F.transform(words, lambda w: F.xxhash64(w))
+    folded = F.slice(hashed, 1, n) if size > 1 else hashed
+    for k in range(1, size):
+        folded = F.zip_with(folded, F.slice(hashed, k + 1, n), lambda a, b: F.xxhash64(a, b))
+    return folded
+
+
+def _bitmap(values: DataFrame, key: str) -> Column:
+    """A constant of MAP bits as longs: one bit for each hash in ``values``; at most MAP / 64 rows are collected."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(key).bitwiseAND(F.lit(63)).cast("int"))
+    slot = F.pmod(F.shiftright(key, 6), F.lit(MAP // 64)).cast("int")
+    rows = values.groupBy(slot.alias("slot")).agg(F.bit_or(bit).alias("bits")).collect()
+    found = {r.slot: r.bits for r in rows}
+    text = "[" + ",".join(str(found.get(i, 0)) for i in range(MAP // 64)) + "]"
+    return F.from_json(F.lit(text), "array<bigint>")
+
+
+def _may_hold(bitmap: Column, h: Column) -> Column:
+    word = F.get(bitmap, F.pmod(F.shiftright(h, 6), F.lit(MAP // 64)).cast("int"))
+    return F.getbit(word, h.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
 def _least_shared(n: Column) -> Column:
@@ -95,9 +118,16 @@ def shared_weight(a: Column, b: Column) -> Column:
 def _windows(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
     """(doc_id, m, start, window, shingles) of the windows that enough anchors allow."""
     known = stored(items.select(F.explode("shingles").alias("h")).distinct(), "grams")
-    hashed = texts.select("key", shingles_of(words_of(F.col("text")), size).alias("all"))
-    placed = hashed.select("key", F.size("all").alias("n"), F.posexplode("all").alias("at", "h"))
-    anchors = passing(placed, "h", known).join(known, "h")
+    # words as a column of their own: inlined, every use would split the text again
+    bitmap = _bitmap(known, "h")
+    hashed = texts.select("key", words_of(F.col("text")).alias("words"))
+    hashed = hashed.select("key", shingles_of(F.col("words"), size).alias("all"))
+    placed = F.transform("all", lambda h, at: F.struct(at.alias("at"), h.alias("h")))
+    placed = F.filter(placed, lambda x: _may_hold(bitmap, x["h"]))
+    placed = hashed.select("key", F.size("all").alias("n"), placed.alias("placed"))
+    # the plain explode puts a test of its size before the shingling, which then runs twice
+    placed = placed.select("key", "n", F.explode_outer("placed").alias("x")).filter("x IS NOT NULL")
+    anchors = placed.select("key", "n", "x.at", "x.h").join(known, "h")
     anchors = anchors.groupBy("key", "n").agg(F.array_sort(F.collect_set("at")).alias("anchors"))
     # distinct lengths of the items
     lengths = sorted(r.m for r in items.select("m").distinct().collect())
@@ -119,7 +149,8 @@ def _windows(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
     # only texts with a window left are read as a whole and moved
     chosen = stored(chosen, "chosen")
     held = passing(texts, "key", chosen).join(chosen, "key").dropDuplicates(["key", "doc_id"])
-    met = held.select("doc_id", "chosen", shingles_of(words_of(F.col("text")), size).alias("all"))
+    met = held.select("doc_id", "chosen", words_of(F.col("text")).alias("words"))
+    met = met.select("doc_id", "chosen", shingles_of(F.col("words"), size).alias("all"))
     cut = F.transform(
         "chosen",
         lambda x: F.struct(
