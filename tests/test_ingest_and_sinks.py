@@ -55,6 +55,25 @@ def test_one_file_per_batch(spark, tmp_path):
     assert ingested_log(spark, f"{base}/out").select("batch_id").distinct().count() == 2
 
 
+def test_a_readable_copy_wins_over_broken_ones(spark, tmp_path):
+    docs = [x for n in range(8) for x in ((f"m{n}", match(f"m{n}", 1)[:-9]), (f"m{n}", match(f"m{n}", 1)))]
+    put(spark, f"{tmp_path}/in", *docs, ("m0", match("other", 1)))
+    log, found = ingest(spark, str(tmp_path))
+    assert log == [(0, f"m{n}", "success") for n in range(8)]
+    assert found == [(f"m{n}", 1, 0) for n in range(8)]
+
+
+def test_documents_listed_without_an_id(spark, tmp_path):
+    docs = [(None, match("a", 2)), (None, match("b", 2)), ("b", match("b", 2)), (None, "{"), (None, "["), (None, None)]
+    put(spark, f"{tmp_path}/in", *docs)
+    log, found = ingest(spark, str(tmp_path))
+    assert log == [(0, "None", "match_detail_error")] * 3 + [(0, "a", "success"), (0, "b", "success")]
+    assert found == [("a", 1, 0), ("a", 2, 0), ("b", 1, 0), ("b", 2, 0)]
+    # the ids found inside are known to later batches
+    put(spark, f"{tmp_path}/in", (None, match("a", 1)))
+    assert ingest(spark, str(tmp_path)) == (log, found)
+
+
 def test_repeated_participants_within_a_document(spark, tmp_path):
     body = json.loads(match("a", 2))
     for i, p in enumerate(body["info"]["participants"]):

@@ -40,6 +40,8 @@ def test_unseen_ids(spark, rows):
     log = spark.createDataFrame([("1", "match_detail_error"), ("2", "success"), (None, "success")], "match_id string, status string")
     assert {(r.match_id, r.by) for r in U.unseen_ids(found, log).collect()} == {("1", "p"), ("3", "p"), (None, "p")}
     assert U.unseen_ids(found.select("match_id"), log).count() == 3
+    nameless = spark.createDataFrame([(None, "p"), (None, "q"), (None, "q"), ("x", "p")], "match_id string, by string")
+    assert U.unseen_ids(nameless, log).count() == 4
     assert [r[0] for r in U.distinct_ids(found).collect()] == ["1", "2", "3", None]
 
 
