@@ -4,15 +4,15 @@ A document is its set of distinct 5-word shingles (64-bit hashes). Equal sets
 are one class, and only classes are compared. A class has ``TREES`` labels of
 ``DEPTH`` independent minimum hashes. Each tree is the sorted order of its
 labels; classes next to each other that share a prefix of at least ``LEAST``
-values form a region, the candidates. Two rounds link them:
+values form a region, the candidates. Three rounds link them:
 
 1. Every class is compared with one class of its regions, the smallest key. In a
    group of many copies that is a star, whatever the group's size.
 2. Regions that still hold several components compare classes of different
    components, all pairs in regions of up to ``REGION`` classes. A larger region
-   is split at the next value of the labels, as deep as needed; where even full
-   labels leave a larger region, its classes are compared with its first and
-   last one and with their neighbours.
+   is split at the next value of the labels, as deep as needed.
+3. Splitting can part a similar pair. Classes of larger regions that hold several
+   components even now meet over their rarest shingles, which misses no pair.
 
 Each candidate is confirmed on the full sets; links make components. At the
 similarity 0.75 a pair shares a region of some tree with probability
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scrimtally.llm.base import documents, passing, stored
@@ -190,7 +190,7 @@ def _second_pairs(crowd: DataFrame, known: DataFrame) -> DataFrame:
     roots = known.select(F.col("node").alias("set_key"), "root")
     rows = crowd.join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
     rows = rows.drop("prefix")
-    mixed, split = [], None
+    mixed = []
     for depth in range(LEAST, DEPTH + 1):
         prefix = F.substring("label", 1, depth * UNIT)
         rows = rows.withColumn("prefix", prefix)
@@ -201,12 +201,9 @@ def _second_pairs(crowd: DataFrame, known: DataFrame) -> DataFrame:
         sizes = sizes.filter("low <> high").select("tree", "prefix", "size")
         rows = rows.join(sizes, ["tree", "prefix"])
         mixed.append(rows.filter(F.col("size") <= REGION).select("tree", "prefix", "label", "set_key", "n", "root"))
-        split = rows.filter(F.col("size") > REGION)
-        rows = split.drop("prefix", "size")
         if depth < DEPTH:
-            rows = stored(rows, "regions")
+            rows = stored(rows.filter(F.col("size") > REGION).drop("prefix", "size"), "regions")
             if not rows.limit(1).count():
-                split = None
                 break
     small = mixed[0]
     for more in mixed[1:]:
@@ -216,14 +213,45 @@ def _second_pairs(crowd: DataFrame, known: DataFrame) -> DataFrame:
     other = small.select("tree", "prefix", *[F.col(c).alias(f"{c}_b") for c in ("set_key", "n", "root")])
     met = small.join(other, ["tree", "prefix"]).filter("set_key < set_key_b AND root <> root_b")
     pairs = met.filter(_sizes_allow("n", "n_b")).select(F.col("set_key").alias("a"), F.col("set_key_b").alias("b"))
-    if split is not None:
-        ends = split.groupBy("tree", "prefix").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y"))
-        star = split.join(ends, ["tree", "prefix"]).select("set_key", F.explode(F.array("x", "y")).alias("b"))
-        star = star.select(F.least("set_key", "b").alias("a"), F.greatest("set_key", "b").alias("b"))
-        pairs = pairs.union(star.filter("a <> b"))
     return pairs.distinct()
 
 
+def _dense(crowd: DataFrame, known: DataFrame) -> DataFrame:
+    """(set_key, root) of the classes in large regions that still hold several components."""
+    roots = known.select(F.col("node").alias("set_key"), "root")
+    rows = crowd.join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
+    sizes = rows.groupBy("tree", "prefix").agg(
+        F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    sizes = sizes.filter((F.col("size") > REGION) & (F.col("low") != F.col("high"))).select("tree", "prefix")
+    return rows.join(sizes, ["tree", "prefix"]).select("set_key", "root").distinct()
+
+
+def _third_pairs(dense: DataFrame, sets: DataFrame) -> DataFrame:
+    """Every pair of different components of ``dense`` that can be similar: none is missed.
+
+    Two similar sets share one of their rarest shingles (as many as may differ,
+    and one), and the first shared one leaves enough behind it in both. The
+    component with most rows of a shingle meets the others, not itself.
+    """
+    rows = sets.join(dense, "set_key").withColumn("n", F.size("hashes"))
+    rows = rows.select("set_key", "root", "n", F.explode("hashes").alias("h"))
+    often = rows.groupBy("h").agg(F.count("*").alias("often"))
+    place = F.row_number().over(Window.partitionBy("set_key").orderBy("often", "h"))
+    rows = rows.join(often, "h").withColumn("place", place)
+    rows = rows.filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
+    rows = stored(rows.select("h", "set_key", "root", "n", "place"), "rare")
+    most = rows.groupBy("h", "root").agg(F.count("*").alias("rows")).groupBy("h")
+    most = most.agg(F.max_by("root", "rows").alias("most"), F.count("*").alias("roots")).filter("roots > 1")
+    rows = stored(rows.join(most.select("h", "most"), "h"), "rare")
+    left = rows.filter("root <> most").drop("most")
+    right = rows.select("h", *[F.col(c).alias(f"{c}_b") for c in ("set_key", "root", "n", "place")])
+    enough = (1 + F.least(F.expr("n - place"), F.expr("n_b - place_b"))) * (100 + PERCENT)
+    met = left.join(right, "h").filter((F.col("root") != F.col("root_b")) & (enough >= PERCENT * F.expr("n + n_b")))
+    met = met.filter(_sizes_allow("n", "n_b"))
+    return met.select(F.least("set_key", "set_key_b").alias("a"), F.greatest("set_key", "set_key_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept, set_key."""
     signed = stored(_signed(docs), "signed")
@@ -247,7 +275,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     known = components(links)
     more = stored(confirmed(_second_pairs(crowd, known), sets), "links")
     if more.limit(1).count():
-        known = components(links.union(more))
+        links = links.union(more)
+        known = components(links)
+    dense = stored(_dense(crowd, known), "dense")
+    if dense.limit(1).count():
+        more = stored(confirmed(_third_pairs(dense, sets), sets), "links")
+        if more.limit(1).count():
+            known = components(links.union(more))
     ids = classes.select("set_key", "first_id").join(known.withColumnRenamed("node", "set_key"), "set_key", "left")
     ids = ids.select("set_key", "first_id", F.coalesce("root", "set_key").alias("root"))
     lowest = ids.groupBy("root").agg(F.min("first_id").alias("component_id"))

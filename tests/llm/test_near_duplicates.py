@@ -77,6 +77,22 @@ def test_components_are_those_of_all_pairs(docs):
     assert found(docs, pairs) == plain(pairs)
 
 
+def test_large_regions_miss_nothing(docs, monkeypatch):
+    # every region is a large one, so splitting alone would leave pairs out
+    monkeypatch.setattr(op, "REGION", 1)
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(800)]
+    shared, pairs = [r.choice(words) for _ in range(150)], []
+    for base in range(12):
+        own = shared[:100] + [r.choice(words) for _ in range(40 + base)]
+        for k in range(8):
+            copy = list(own)
+            for _ in range(k % 4):
+                copy[r.randrange(len(copy))] = r.choice(words)
+            pairs.append((100 * base + k, " ".join(copy)))
+    assert found(docs, pairs) == plain(pairs)
+
+
 def test_kept_rows(docs):
     pairs = [(3, "a b c d e f"), (1, "a b c d e f"), (2, "other words"), (4, None), (None, None), (1, "a b c d e f")]
     data = docs(pairs)
