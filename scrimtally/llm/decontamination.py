@@ -116,7 +116,7 @@ def shared_weight(a: Column, b: Column) -> Column:
 
 
 def _windows(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
-    """(doc_id, m, start, window, shingles) of the windows that enough anchors allow."""
+    """(key, doc_id, m, start, window, shingles) of the windows that enough anchors allow."""
     known = stored(items.select(F.explode("shingles").alias("h")).distinct(), "grams")
     # words as a column of their own: inlined, every use would split the text again
     bitmap = _bitmap(known, "h")
@@ -149,22 +149,22 @@ def _windows(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
     # only texts with a window left are read as a whole and moved
     chosen = stored(chosen, "chosen")
     held = passing(texts, "key", chosen).join(chosen, "key").dropDuplicates(["key", "doc_id"])
-    met = held.select("doc_id", "chosen", words_of(F.col("text")).alias("words"))
-    met = met.select("doc_id", "chosen", shingles_of(F.col("words"), size).alias("all"))
+    met = held.select("key", "doc_id", "chosen", words_of(F.col("text")).alias("words"))
+    met = met.select("key", "doc_id", "chosen", shingles_of(F.col("words"), size).alias("all"))
     cut = F.transform(
         "chosen",
         lambda x: F.struct(
             x["m"].alias("m"), x["start"].alias("start"), F.slice("all", x["start"] + 1, x["m"] - (size - 1)).alias("s")
         ),
     )
-    found = met.select("doc_id", F.explode(cut).alias("x"))
+    found = met.select("key", "doc_id", F.explode(cut).alias("x"))
     return found.select(
-        "doc_id", "x.m", "x.start", F.xxhash64("x.s").alias("window"), F.col("x.s").alias("shingles")
+        "key", "doc_id", "x.m", "x.start", F.xxhash64("x.s").alias("window"), F.col("x.s").alias("shingles")
     )
 
 
 def _found(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
-    """(doc_id, item_id, start, m, similarity) for the items of one shingle size."""
+    """(key, doc_id, item_id, start, m, similarity) for the items of one shingle size."""
     windows = stored(_windows(texts, items, size), "windows")
     distinct = windows.groupBy("m", "window").agg(F.first("shingles").alias("shingles"))
     distinct = stored(distinct, "distinct")
@@ -183,8 +183,8 @@ def _found(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
     total = F.size("shingles") + F.size("of_item") - F.col("shared")
     good = met.filter(100 * F.col("shared") >= PERCENT * total)
     good = good.select("m", "window", "item_id", (F.col("shared") / total).alias("similarity"))
-    return windows.select("doc_id", "m", "start", "window").join(good, ["m", "window"]).select(
-        "doc_id", "item_id", "start", "m", "similarity"
+    return windows.select("key", "doc_id", "m", "start", "window").join(good, ["m", "window"]).select(
+        "key", "doc_id", "item_id", "start", "m", "similarity"
     )
 
 
@@ -192,8 +192,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return documents(docs).filter("text IS NOT NULL").withColumn("key", F.xxhash64("doc_id", "text"))
 
 
-def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per document and item that it holds: doc_id, item_id, similarity, windows, first_word."""
+def _passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(key, doc_id, item_id, start, m, similarity) of all windows found; key is that of the id and the text."""
     items = columns(benchmark, (("item_id", "bigint"), ("text", "string"))).distinct()
     items = items.select("item_id", words_of(F.col("text")).alias("words"))
     items = items.withColumn("m", F.size("words")).filter("m > 0")
@@ -204,7 +204,12 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         own = items.filter(F.col("k") == size).select("item_id", "m", shingles_of(F.col("words"), size).alias("shingles"))
         part = _found(texts, stored(own, "shingles"), size)
         found = part if found is None else found.unionByName(part)
-    return found.groupBy("doc_id", "item_id").agg(
+    return found
+
+
+def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Per document and item that it holds: doc_id, item_id, similarity, windows, first_word."""
+    return _passages(docs, benchmark).groupBy("doc_id", "item_id").agg(
         F.max("similarity").alias("similarity"),
         F.countDistinct("start", "m").alias("windows"),
         F.min("start").alias("first_word"),
@@ -212,8 +217,13 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all their columns, whose id is not that of a document with a passage."""
-    found = passages(docs, benchmark).select(F.col("doc_id").alias("__id")).distinct()
+    """The rows of ``docs``, all their columns, that hold no passage.
+
+    A row is judged by its id and its text: other texts with the same or with a null id stay.
+    """
+    found = _passages(docs, benchmark).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
     # the same plan at every size
     found = stored(found, "contaminated").hint("merge")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["__id"]), "left_anti")
+    doc_id, text = docs["doc_id"].cast("bigint"), docs["text"].cast("string")
+    key = F.xxhash64(doc_id, text)
+    return docs.join(found, doc_id.eqNullSafe(found["__id"]) & (key == found["__key"]), "left_anti")

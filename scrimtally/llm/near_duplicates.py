@@ -252,8 +252,8 @@ def _third_pairs(dense: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select(F.least("set_key", "set_key_b").alias("a"), F.greatest("set_key", "set_key_b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, kept, set_key."""
+def _judged(docs: DataFrame) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id, kept, set_key, and text_key and root (of its component)."""
     signed = stored(_signed(docs), "signed")
     classes = signed.filter(F.col("set_key").isNotNull()).groupBy("set_key")
     classes = stored(
@@ -285,8 +285,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ids = classes.select("set_key", "first_id").join(known.withColumnRenamed("node", "set_key"), "set_key", "left")
     ids = ids.select("set_key", "first_id", F.coalesce("root", "set_key").alias("root"))
     lowest = ids.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    ids = ids.join(lowest, "root").select("set_key", "component_id")
-    rows = signed.select("doc_id", F.col("n").alias("n_shingles"), "set_key").join(ids, "set_key", "left")
+    ids = ids.join(lowest, "root").select("set_key", "component_id", "root")
+    rows = signed.select("doc_id", F.col("n").alias("n_shingles"), "set_key", "text_key").join(ids, "set_key", "left")
     component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select(
         "doc_id",
@@ -294,15 +294,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
         "set_key",
+        "text_key",
+        "root",
     )
 
 
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id, kept, set_key."""
+    return _judged(docs).drop("text_key", "root")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all their columns, that are the smallest id of their component.
+    """The rows of ``docs``, all their columns, of one document of each component: one with its smallest id.
 
-    Of repeated rows with that id and different texts all stay; equal rows are one.
+    A document is an id and a text, so neither a repeated id nor the null id takes
+    other texts with it. Of different texts with the smallest id one stays. A
+    document given in several rows stays in all of them, if it has an id: a null id
+    names no document, so of its rows with one text one stays. Documents without
+    words all stay.
     """
-    found = near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
+    rows = _judged(docs).filter(F.col("set_key").isNotNull())
+    rows = rows.groupBy("doc_id", "text_key").agg(F.first("kept").alias("kept"), F.first("root").alias("root"))
+    rows = stored(rows, "judged")
+    chosen = rows.filter("kept").groupBy("root").agg(F.min("text_key").alias("__key"), F.first("doc_id").alias("__id"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key"))
+    found = rows.join(chosen, same, "left_anti").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
     # the same plan at every size
     found = stored(found, "dropped").hint("merge")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["__id"]), "left_anti")
+    doc_id, text = docs["doc_id"].cast("bigint"), docs["text"].cast("string")
+    left = docs.join(found, doc_id.eqNullSafe(found["__id"]) & (F.xxhash64(text) == found["__key"]), "left_anti")
+    words = F.coalesce(F.translate("text", " \t\n\x0b\x0c\r", ""), F.lit("")) != ""
+    nameless = left.filter(F.col("doc_id").isNull() & words)
+    place = F.row_number().over(Window.partitionBy("text").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])))
+    nameless = nameless.withColumn("__place", place).filter("__place = 1").drop("__place")
+    return left.filter(F.col("doc_id").isNotNull() | ~words).unionByName(nameless)

@@ -54,3 +54,13 @@ def test_equals_every_window_against_every_item(spark):
     expected = plain(docs, items)
     assert {(r.doc_id, r.item_id) for r in found.collect()} == expected
     assert {(10, 0), (10, None), (11, 1), (12, 2), (14, 7), (None, 3)} <= expected
+
+
+def test_clean_texts_of_null_and_repeated_ids_stay(spark):
+    item = " ".join(f"w{n}" for n in range(20))
+    docs = [(None, item, "y"), (None, "clean words", "y"), (None, None, "y"), (4, "x " + item, "y"), (4, "clean", "y")]
+    docs, items = spark.createDataFrame(docs, DOCS), spark.createDataFrame([(1, item, "x")], BENCH)
+    kept = D.keep_clean(docs, items)
+    assert kept.columns == docs.columns
+    left = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted(left, key=str) == [(4, "clean"), (None, "clean words"), (None, None)]

@@ -126,3 +126,13 @@ def test_chains_are_one_component(spark, n):
     got = {(r.node, r.root) for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = {(i, 0) for i in range(n + 1)} if n else set()
     assert got == want | ({(1000 + k, 1000) for k in range(n)} if n > 1 else set())
+
+
+def test_kept_documents_of_null_and_repeated_ids(docs):
+    a, b, c = "a b c d e f g h", "i j k l m n", "o p q r s t"
+    pairs = [(3, a), (7, a), (7, b), (None, a), (None, b + " x y z 1 2 3 4 5"), (None, c), (None, c), (None, None), (None, " ")]
+    # one component of one id, and one without ids, each of two texts
+    pairs += [(9, "u v w x y z u v"), (9, "U v w x y z u v"), (None, "1 2 3 4 5 6"), (None, "1  2 3 4 5 6")]
+    kept = Counter((r.doc_id, (r.text or "").lower().replace("  ", " ")) for r in op.keep_one(docs(pairs)).collect())
+    want = [(3, a), (7, b), (None, b + " x y z 1 2 3 4 5"), (None, c), (None, ""), (None, " ")]
+    assert kept == Counter([*want, (9, "u v w x y z u v"), (None, "1 2 3 4 5 6")])
