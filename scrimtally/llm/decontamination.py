@@ -2,13 +2,14 @@
 
 Only DataFrame functions are used. Words end at ASCII white space and A-Z are
 lower-cased; a shingle is five successive words, or a whole item of fewer words.
-For an item of m words every window of m words of a document is judged by the
-weighted Jaccard similarity of both multisets of shingles (weight: how often a
-shingle occurs), which must reach 0.75:
+For an item of m words every window of m words of a document, or the whole text
+of a shorter one, is judged by the weighted Jaccard similarity of both multisets
+of shingles (weight: how often a shingle occurs), which must reach 0.75:
 
 1. Positions of a document whose shingle occurs in any item are its anchors. A
-   window can only reach the similarity if 6/7 of its shingles are anchors, so
-   all other windows go before they are fingerprinted. This loses nothing.
+   window can only reach the similarity if 6/7 of its shingles are anchors
+   (more of a shorter text), so all other windows go before they are
+   fingerprinted. This loses nothing.
 2. Windows of equal content are fingerprinted once: 64-bit SimHash over their
    shingles. Fingerprints are cut into RADIUS + 1 blocks; of two fingerprints
    within the radius at least one block is equal, so joining on (size, block,
@@ -18,9 +19,9 @@ shingle occurs), which must reach 0.75:
 At similarity 0.75 two fingerprints differ by 11 bits with a deviation of 3, so
 the radius of 23 is four deviations away.
 
-Cases: null and empty texts, and items without words, match nothing; a text
-shorter than an item does not match it; repeated rows and items give one row for
-each pair of ids; null ids take part like any other; empty tables give an empty
+Cases: null and empty texts, texts shorter than a shingle, and items without
+words, match nothing; repeated rows and items give one row for each pair of ids;
+items of one id or without an id are judged one by one; empty tables give an empty
 result; further columns are ignored.
 """
 
@@ -74,9 +75,9 @@ def _may_hold(bitmap: Column, h: Column) -> Column:
     return F.getbit(word, h.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
-def _least_shared(n: Column) -> Column:
-    """Of n shingles against n: how many must be shared for the similarity."""
-    return F.ceil(n * (2 * PERCENT) / (100 + PERCENT)).cast("int")
+def _least_shared(n: Column, m: Column) -> Column:
+    """Of n shingles against m: how many must be shared for the similarity."""
+    return F.ceil((n + m) * PERCENT / (100 + PERCENT)).cast("int")
 
 
 def simhash(rows: DataFrame, keys: list[str], shingles: str) -> DataFrame:
@@ -135,8 +136,9 @@ def _windows(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
         lengths = [0]
     spots = anchors.select("key", "n", "anchors", F.posexplode("anchors").alias("i", "at"))
     spots = spots.withColumn("m", F.explode(F.array(*[F.lit(m) for m in lengths])))
-    w = F.col("m") - (size - 1)
-    spots = spots.withColumn("w", w).withColumn("c", _least_shared(F.col("w")))
+    # a text shorter than an item is one window as a whole
+    whole = F.col("m") - (size - 1)
+    spots = spots.withColumn("w", F.least(whole, F.col("n"))).withColumn("c", _least_shared(F.col("w"), whole))
     last = F.try_element_at("anchors", F.col("i") + F.col("c"))
     before = F.when(F.col("i") > 0, F.try_element_at("anchors", F.greatest(F.col("i"), F.lit(1)))).otherwise(-1)
     spots = spots.withColumn("last", last).filter(F.col("last").isNotNull() & (F.col("last") <= F.col("at") + F.col("w") - 1))
@@ -169,20 +171,22 @@ def _found(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
     distinct = windows.groupBy("m", "window").agg(F.first("shingles").alias("shingles"))
     distinct = stored(distinct, "distinct")
     of_windows = simhash(distinct, ["m", "window"], "shingles")
-    of_items = simhash(items, ["m", "item_id"], "shingles").withColumnRenamed("fingerprint", "wanted")
+    # items are told apart by their words: ids may repeat or be null
+    asked = items.groupBy("m", "item").agg(F.first("shingles").alias("of_item"))
+    of_items = simhash(asked, ["m", "item"], "of_item").withColumnRenamed("fingerprint", "wanted")
     left = of_windows.select("m", "window", "fingerprint", blocks(F.col("fingerprint")).alias("b"))
-    right = of_items.select("m", "item_id", "wanted", blocks(F.col("wanted")).alias("b"))
+    right = of_items.select("m", "item", "wanted", blocks(F.col("wanted")).alias("b"))
     left = left.select("m", "window", "fingerprint", "b.block", "b.value")
-    right = right.select("m", "item_id", "wanted", "b.block", "b.value")
+    right = right.select("m", "item", "wanted", "b.block", "b.value")
     near = left.join(right, ["m", "block", "value"])
     near = near.filter(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("wanted"))) <= RADIUS)
-    near = near.select("m", "window", "item_id").distinct()
-    asked = items.select(F.col("m").alias("own"), F.col("item_id").alias("own_id"), F.col("shingles").alias("of_item"))
-    met = near.join(distinct, ["m", "window"]).join(asked, F.expr("m = own AND item_id <=> own_id"))
+    near = near.select("m", "window", "item").distinct()
+    met = near.join(distinct, ["m", "window"]).join(asked, ["m", "item"])
     met = met.withColumn("shared", shared_weight(F.col("shingles"), F.col("of_item")))
     total = F.size("shingles") + F.size("of_item") - F.col("shared")
     good = met.filter(100 * F.col("shared") >= PERCENT * total)
-    good = good.select("m", "window", "item_id", (F.col("shared") / total).alias("similarity"))
+    good = good.select("m", "window", "item", (F.col("shared") / total).alias("similarity"))
+    good = good.join(items.select("m", "item", "item_id").distinct(), ["m", "item"])
     return windows.select("key", "doc_id", "m", "start", "window").join(good, ["m", "window"]).select(
         "key", "doc_id", "item_id", "start", "m", "similarity"
     )
@@ -201,7 +205,9 @@ def _passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts, found = _keyed(docs), None
     # five, and the sizes of shorter items
     for size in sorted({SHINGLE, *[r.k for r in items.select("k").distinct().collect()]}):
-        own = items.filter(F.col("k") == size).select("item_id", "m", shingles_of(F.col("words"), size).alias("shingles"))
+        own = items.filter(F.col("k") == size).select(
+            "item_id", "m", F.xxhash64("words").alias("item"), shingles_of(F.col("words"), size).alias("shingles")
+        )
         part = _found(texts, stored(own, "shingles"), size)
         found = part if found is None else found.unionByName(part)
     return found

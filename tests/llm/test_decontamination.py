@@ -64,3 +64,34 @@ def test_clean_texts_of_null_and_repeated_ids_stay(spark):
     assert kept.columns == docs.columns
     left = [(r.doc_id, r.text) for r in kept.collect()]
     assert sorted(left, key=str) == [(4, "clean"), (None, "clean words"), (None, None)]
+
+
+def test_shorter_texts_are_judged_as_a_whole(spark):
+    rng = random.Random(5)
+    item = rng.choices([f"w{n}" for n in range(400)], k=41)
+    docs = [(1, item[1:]), (2, item[:-1]), (3, item[:32]), (4, item[:31]), (5, item[:4]), (6, item[3:36]), (7, ["x", *item[:35]])]
+    docs = [(i, " ".join(w), "y") for i, w in docs]
+    items = [(1, " ".join(item), "x"), (2, " ".join(item[:38]), "x"), (3, "a b c d", "x")]
+    expected = set()
+    for d, text, _ in docs:
+        for i, asked, _ in items:
+            w, v = words(text), words(asked)
+            k, m = min(5, len(v)), min(len(v), len(w))
+            for at in range(len(w) - m + 1):
+                a, b = grams(w[at : at + m], k), grams(v, k)
+                both = sum((a & b).values())
+                if 100 * both >= 75 * (sum(a.values()) + sum(b.values()) - both):
+                    expected.add((d, i))
+    assert {(1, 1), (2, 1), (3, 1), (7, 1)} <= expected and (4, 1) not in expected
+    found = D.passages(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, BENCH)).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == expected
+    assert {r.similarity for r in found if (r.doc_id, r.item_id) in ((1, 1), (2, 1))} == {36 / 37}
+
+
+def test_items_that_share_an_id_are_judged_one_by_one(spark):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices([f"w{n}" for n in range(400)], k=40)) for _ in range(12)]
+    items = [(None if n % 2 else 5, text, "x") for n, text in enumerate(texts)]
+    docs = [(n, f"x y {text} z", "y") for n, text in enumerate(texts)]
+    found = D.passages(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, BENCH))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(n, None if n % 2 else 5) for n in range(12)}
