@@ -48,7 +48,9 @@ MOST_WORDS = 3
 INSIDE_PERCENT = 50
 REPORTED = 2000
 # words of a block
-BLOCK = 1 << 21
+BLOCK = 1 << 20
+# positions of a row of the written relation
+CELLS = 1 << 16
 # (block, slot) in one number: a text of 2 GB has fewer than 2^30 words
 SLOT_BITS = 30
 # blocks of one partition of the input
@@ -103,15 +105,30 @@ class _Block:
         self.cells += [cells, np.full(1, -1, np.int32)]
         self.size += len(cells)
 
-    def row(self, block: int) -> dict:
+    def rows(self, block: int) -> pd.DataFrame:
         cells = np.concatenate(self.cells)
-        counts = np.bincount(cells[cells >= 0], minlength=len(self.words)).astype(np.int32)
+        counts = np.bincount(cells[cells >= 0], minlength=len(self.words))
         words = [w.decode("utf-8", "surrogatepass") for w in self.words]
-        return {"block": block, "cells": cells, "langs": self.langs, "words": words, "counts": counts}
+        return _rows(block, cells, {"lang": self.langs, "word": words, "n": counts})
+
+
+def _rows(block: int, cells: np.ndarray | None, groups: dict) -> pd.DataFrame:
+    """A block as rows: its cells, ``CELLS`` a row, at slots -1, -2 and so on; then one row for each slot from 0 up."""
+    parts = [] if cells is None else [cells[i : i + CELLS] for i in range(0, len(cells), CELLS)]
+    rows = pd.DataFrame(groups | {"cells": None})
+    rows["slot"] = np.arange(len(rows))
+    if parts:
+        held = pd.DataFrame({"cells": parts, "slot": -1 - np.arange(len(parts))}).reindex(columns=rows.columns)
+        rows = pd.concat([held, rows], ignore_index=True)
+    whole = ["n", *[c for c in ("low", "high") if c in groups]]
+    return rows.astype(dict.fromkeys(whole, "Int64")).assign(block=block)
 
 
 def occurrences(docs: DataFrame, block_words: int = BLOCK) -> DataFrame:
-    """R1: per block its cells (a slot for each position, -1 between pieces) and its words with counts."""
+    """R1: per block its cells (a slot for each position, -1 between pieces) and its words with counts.
+
+    See ``_rows``: a row has either cells or a group with its count.
+    """
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block = TaskContext.get().partitionId() << PART_BITS
@@ -120,13 +137,13 @@ def occurrences(docs: DataFrame, block_words: int = BLOCK) -> DataFrame:
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
                 held.add(lang, text)
                 if held.size >= block_words:
-                    yield pd.DataFrame([held.row(block)])
+                    yield held.rows(block)
                     block, held = block + 1, _Block()
         if held.words:
-            yield pd.DataFrame([held.row(block)])
+            yield held.rows(block)
 
     texts = columns(docs, (("lang", "string"), ("text", "string"))).fillna("und", ["lang"])
-    schema = "block bigint, cells array<int>, langs array<string>, words array<string>, counts array<int>"
+    schema = "block bigint, slot int, lang string, word string, n int, cells array<int>"
     return texts.mapInPandas(build, schema)
 
 
@@ -134,21 +151,20 @@ def _frequent(groups: DataFrame, keys: list[str], least: int) -> DataFrame:
     """The rows (keys, block, slot, n) of frequent groups, with ``total`` and the group's name ``gid``."""
     uid = F.shiftleft("block", SLOT_BITS) + F.col("slot")
     whole = Window.partitionBy(*keys)
-    rows = groups.withColumn("uid", uid).drop("block", "slot")
+    rows = groups.filter("slot >= 0").select(*keys, "n", uid.alias("uid"))
     rows = rows.withColumns({"total": F.sum("n").over(whole), "gid": F.min("uid").over(whole)})
     return rows.filter(F.col("total") >= least).drop("n")
 
 
-def _extended(blocks: DataFrame, frequent: DataFrame) -> DataFrame:
-    """R(k+1) of R(k): per block its cells and the distinct pairs of names (low, high) with counts."""
+def _extended(blocks: DataFrame, frequent: DataFrame, last: bool) -> DataFrame:
+    """R(k+1) of R(k): per block its cells (none if it is the last one) and its distinct pairs of names (low, high)."""
 
-    def extend(cells: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
-        if not len(cells) or not len(names):
-            return pd.DataFrame(columns=["block", "cells", "counts", "low", "high"], dtype=object)
-        at = np.asarray(cells["cells"].iloc[0])
+    def extend(held: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
+        parts = held.sort_values("slot", ascending=False)["cells"]
+        at = np.concatenate([*parts, np.full(1, -1, np.int32)])
         gid = np.sort(names["gid"].unique())
         # the semi-join: slots of frequent groups, by the place of their name
-        place = np.full(max(int(at.max()), int(names["slot"].max())) + 1, -1, np.int64)
+        place = np.full(max(at.max(), names["slot"].max() if len(names) else 0, 0) + 1, -1, np.int64)
         place[names["slot"].to_numpy()] = np.searchsorted(gid, names["gid"].to_numpy())
         group = np.where(at >= 0, place[at], -1)
         # the merge-join: neighbours in order
@@ -156,28 +172,25 @@ def _extended(blocks: DataFrame, frequent: DataFrame) -> DataFrame:
         pair, slot, counts = np.unique(
             group[met] * len(gid) + group[met + 1], return_inverse=True, return_counts=True
         )
-        grown = np.full(len(at), -1, np.int32)
-        grown[met] = slot
-        row = {"block": cells["block"].iloc[0], "cells": grown, "counts": counts.astype(np.int32)}
-        return pd.DataFrame([row | {"low": gid[pair // len(gid)], "high": gid[pair % len(gid)]}])
+        grown = None
+        if not last:
+            grown = np.full(len(at), -1, np.int32)
+            grown[met] = slot
+        block = (held if len(held) else names)["block"].iloc[0]
+        size = max(len(gid), 1)
+        return _rows(block, grown, {"low": gid[pair // size], "high": gid[pair % size], "n": counts})
 
     names = frequent.select(
         F.shiftright("uid", SLOT_BITS).alias("block"),
         F.col("uid").bitwiseAND(F.lit((1 << SLOT_BITS) - 1)).cast("int").alias("slot"),
         "gid",
     )
-    relation = blocks.select("block", "cells").groupBy("block").cogroup(names.groupBy("block"))
-    schema = "block bigint, cells array<int>, low array<bigint>, high array<bigint>, counts array<int>"
+    cells = blocks.filter("slot < 0").select("block", "slot", "cells")
+    relation = cells.groupBy("block").cogroup(names.groupBy("block"))
+    schema = "block bigint, slot int, low bigint, high bigint, n int, cells array<int>"
     return relation.applyInPandas(extend, schema)
 
 
-def _groups(blocks: DataFrame, names: list[str]) -> DataFrame:
-    """One row for each distinct group of each block."""
-    zipped = F.arrays_zip(*[F.col(n) for n in names], F.col("counts"))
-    rows = blocks.select("block", F.posexplode(zipped).alias("slot", "g"))
-    return rows.select("block", "slot", *[F.col(f"g.{n}").alias(n) for n in names], F.col("g.counts").alias("n"))
-
-
 def _sequences(pairs: DataFrame, shorter: DataFrame) -> DataFrame:
     """The frequent sequences of one word more: their words and the counts of their prefixes and suffixes."""
     first = shorter.select(F.col("gid").alias("low"), "lang", "words", "prefixes")
@@ -213,9 +226,8 @@ def frequent_sequences(
 ) -> tuple[DataFrame, list[DataFrame]]:
     """(lang, n) and, by length, the frequent sequences (gid, low, high, lang, words, prefixes, suffixes, total)."""
     blocks = stored(occurrences(docs, block_words), "occurrences")
-    groups = _groups(blocks, ["langs", "words"]).withColumnsRenamed({"langs": "lang", "words": "word"})
-    sizes = groups.groupBy("lang").agg(F.sum("n").alias("n"))
-    rows = stored(_frequent(groups, ["lang", "word"], least), "frequent")
+    sizes = blocks.filter("slot >= 0").groupBy("lang").agg(F.sum("n").alias("n"))
+    rows = stored(_frequent(blocks, ["lang", "word"], least), "frequent")
     one = F.array("total")
     found = [
         rows.filter("uid = gid").select(
@@ -223,10 +235,10 @@ def frequent_sequences(
         )
     ]
     for length in range(2, most_words + 1):
-        blocks = _extended(blocks, rows)
+        blocks = _extended(blocks, rows, length == most_words)
         if length < most_words:
             blocks = stored(blocks, "occurrences")
-        rows = _frequent(_groups(blocks, ["low", "high"]), ["low", "high"], least)
+        rows = _frequent(blocks, ["low", "high"], least)
         if length < most_words:
             rows = stored(rows, "frequent")
         pairs = rows.filter("uid = gid").select("gid", "low", "high", "total")
