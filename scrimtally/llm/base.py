@@ -27,6 +27,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Written:
+    """Written tables of one run, by name; one that no later step reads can be dropped."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        path = self.paths[name] = scratch_dir(self.spark, name)
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Delete tables; only after everything that is made of them has been written."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def columns(df: DataFrame, types: Sequence[tuple[str, str]]) -> DataFrame:
     """Only the named columns, with fixed types; other columns never take part."""
     return df.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in types])

@@ -36,12 +36,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scrimtally.llm.base import columns, stored
+from scrimtally.llm.base import Written, columns
 
 LEAST = 10
 MOST_WORDS = 3
@@ -105,23 +105,30 @@ class _Block:
         self.cells += [cells, np.full(1, -1, np.int32)]
         self.size += len(cells)
 
-    def rows(self, block: int) -> pd.DataFrame:
+    def rows(self, block: int) -> pa.RecordBatch:
         cells = np.concatenate(self.cells)
         counts = np.bincount(cells[cells >= 0], minlength=len(self.words))
-        words = [w.decode("utf-8", "surrogatepass") for w in self.words]
-        return _rows(block, cells, {"lang": self.langs, "word": words, "n": counts})
+        words = pa.array(self.words, pa.binary()).cast(pa.string())
+        return _rows(block, cells, {"lang": pa.array(self.langs, pa.string()), "word": words}, counts)
 
 
-def _rows(block: int, cells: np.ndarray | None, groups: dict) -> pd.DataFrame:
+def _rows(block: int, cells: np.ndarray, groups: dict[str, pa.Array], counts: np.ndarray) -> pa.RecordBatch:
     """A block as rows: its cells, ``CELLS`` a row, at slots -1, -2 and so on; then one row for each slot from 0 up."""
-    parts = [] if cells is None else [cells[i : i + CELLS] for i in range(0, len(cells), CELLS)]
-    rows = pd.DataFrame(groups | {"cells": None})
-    rows["slot"] = np.arange(len(rows))
-    if parts:
-        held = pd.DataFrame({"cells": parts, "slot": -1 - np.arange(len(parts))}).reindex(columns=rows.columns)
-        rows = pd.concat([held, rows], ignore_index=True)
-    whole = ["n", *[c for c in ("low", "high") if c in groups]]
-    return rows.astype(dict.fromkeys(whole, "Int64")).assign(block=block)
+    ends = np.append(np.arange(0, len(cells), CELLS), len(cells)) if len(cells) else np.zeros(1, np.int64)
+    held = len(ends) - 1
+    size = held + len(counts)
+    offsets = np.concatenate([ends, np.full(len(counts), len(cells))]).astype(np.int32)
+    lists = pa.ListArray.from_arrays(
+        pa.array(offsets), pa.array(cells, pa.int32()), mask=pa.array(np.arange(size) >= held)
+    )
+    out = {
+        "block": pa.array(np.full(size, block, np.int64)),
+        "slot": pa.array(np.concatenate([-1 - np.arange(held), np.arange(len(counts))]).astype(np.int32)),
+    }
+    for name, values in groups.items():
+        out[name] = pa.concat_arrays([pa.nulls(held, values.type), values])
+    out["n"] = pa.array(np.concatenate([np.zeros(held, np.int32), counts.astype(np.int32)]))
+    return pa.RecordBatch.from_pydict(out | {"cells": lists})
 
 
 def occurrences(docs: DataFrame, block_words: int = BLOCK) -> DataFrame:
@@ -130,12 +137,12 @@ def occurrences(docs: DataFrame, block_words: int = BLOCK) -> DataFrame:
     See ``_rows``: a row has either cells or a group with its count.
     """
 
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << PART_BITS
         held = _Block()
         for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                held.add(lang, text)
+            for lang, text in zip(batch["lang"].to_pylist(), batch["text"], strict=True):
+                held.add(lang, text.as_py())
                 if held.size >= block_words:
                     yield held.rows(block)
                     block, held = block + 1, _Block()
@@ -143,8 +150,7 @@ def occurrences(docs: DataFrame, block_words: int = BLOCK) -> DataFrame:
             yield held.rows(block)
 
     texts = columns(docs, (("lang", "string"), ("text", "string"))).fillna("und", ["lang"])
-    schema = "block bigint, slot int, lang string, word string, n int, cells array<int>"
-    return texts.mapInPandas(build, schema)
+    return texts.mapInArrow(build, "block bigint, slot int, lang string, word string, n int, cells array<int>")
 
 
 def _frequent(groups: DataFrame, keys: list[str], least: int) -> DataFrame:
@@ -159,26 +165,27 @@ def _frequent(groups: DataFrame, keys: list[str], least: int) -> DataFrame:
 def _extended(blocks: DataFrame, frequent: DataFrame, last: bool) -> DataFrame:
     """R(k+1) of R(k): per block its cells (none if it is the last one) and its distinct pairs of names (low, high)."""
 
-    def extend(held: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
-        parts = held.sort_values("slot", ascending=False)["cells"]
-        at = np.concatenate([*parts, np.full(1, -1, np.int32)])
-        gid = np.sort(names["gid"].unique())
+    def extend(held: pa.Table, names: pa.Table) -> pa.Table:
+        parts = held.sort_by([("slot", "descending")])["cells"].combine_chunks()
+        at = np.append(parts.flatten().to_numpy(), np.int32(-1))
+        slots, gids = names["slot"].to_numpy(), names["gid"].to_numpy()
+        gid = np.unique(gids)
         # the semi-join: slots of frequent groups, by the place of their name
-        place = np.full(max(at.max(), names["slot"].max() if len(names) else 0, 0) + 1, -1, np.int64)
-        place[names["slot"].to_numpy()] = np.searchsorted(gid, names["gid"].to_numpy())
+        place = np.full(max(at.max(), slots.max(initial=0)) + 1, -1, np.int64)
+        place[slots] = np.searchsorted(gid, gids)
         group = np.where(at >= 0, place[at], -1)
         # the merge-join: neighbours in order
         met = np.flatnonzero((group[:-1] >= 0) & (group[1:] >= 0))
         pair, slot, counts = np.unique(
             group[met] * len(gid) + group[met + 1], return_inverse=True, return_counts=True
         )
-        grown = None
+        grown = np.full(0 if last else len(at), -1, np.int32)
         if not last:
-            grown = np.full(len(at), -1, np.int32)
             grown[met] = slot
-        block = (held if len(held) else names)["block"].iloc[0]
         size = max(len(gid), 1)
-        return _rows(block, grown, {"low": gid[pair // size], "high": gid[pair % size], "n": counts})
+        pairs = {"low": pa.array(gid[pair // size]), "high": pa.array(gid[pair % size])}
+        block = (held if len(held) else names)["block"][0].as_py()
+        return pa.Table.from_batches([_rows(block, grown, pairs, counts)])
 
     names = frequent.select(
         F.shiftright("uid", SLOT_BITS).alias("block"),
@@ -188,7 +195,7 @@ def _extended(blocks: DataFrame, frequent: DataFrame, last: bool) -> DataFrame:
     cells = blocks.filter("slot < 0").select("block", "slot", "cells")
     relation = cells.groupBy("block").cogroup(names.groupBy("block"))
     schema = "block bigint, slot int, low bigint, high bigint, n int, cells array<int>"
-    return relation.applyInPandas(extend, schema)
+    return relation.applyInArrow(extend, schema)
 
 
 def _sequences(pairs: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -225,24 +232,25 @@ def frequent_sequences(
     docs: DataFrame, least: int = LEAST, most_words: int = MOST_WORDS, block_words: int = BLOCK
 ) -> tuple[DataFrame, list[DataFrame]]:
     """(lang, n) and, by length, the frequent sequences (gid, low, high, lang, words, prefixes, suffixes, total)."""
-    blocks = stored(occurrences(docs, block_words), "occurrences")
+    written = Written(docs.sparkSession)
+    blocks = written.put("occurrences-1", occurrences(docs, block_words))
     sizes = blocks.filter("slot >= 0").groupBy("lang").agg(F.sum("n").alias("n"))
-    rows = stored(_frequent(blocks, ["lang", "word"], least), "frequent")
+    sizes = written.put("sizes", sizes)
+    rows = written.put("frequent-1", _frequent(blocks, ["lang", "word"], least))
     one = F.array("total")
-    found = [
-        rows.filter("uid = gid").select(
-            "gid", "lang", F.array("word").alias("words"), one.alias("prefixes"), one.alias("suffixes"), "total"
-        )
-    ]
-    for length in range(2, most_words + 1):
-        blocks = _extended(blocks, rows, length == most_words)
-        if length < most_words:
-            blocks = stored(blocks, "occurrences")
+    words = rows.filter("uid = gid").select(
+        "gid", "lang", F.array("word").alias("words"), one.alias("prefixes"), one.alias("suffixes"), "total"
+    )
+    found = [written.put("sequences-1", words)]
+    for k in range(2, most_words + 1):
+        last = k == most_words
+        blocks = _extended(blocks, rows, last)
+        blocks = blocks if last else written.put(f"occurrences-{k}", blocks)
         rows = _frequent(blocks, ["low", "high"], least)
-        if length < most_words:
-            rows = stored(rows, "frequent")
+        rows = rows if last else written.put(f"frequent-{k}", rows)
         pairs = rows.filter("uid = gid").select("gid", "low", "high", "total")
-        found.append(stored(_sequences(pairs, found[-1]), "sequences"))
+        found.append(written.put(f"sequences-{k}", _sequences(pairs, found[-1])))
+        written.drop(f"occurrences-{k - 1}", f"frequent-{k - 1}")
     return sizes, found
 
 
