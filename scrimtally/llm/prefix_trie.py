@@ -16,7 +16,7 @@ done within shards, and then across the shards' roots:
   later round. They are added up per parent before that round reads them.
 
 The number of rounds is the logarithm of the number of conversations to the base
-SHARD: three for 60 billion. Each round writes its totals; a lost executor repeats
+SHARD: four for 60 billion. Each round writes its totals; a lost executor repeats
 a part of one round. The queue's spill file has no name and belongs to one task.
 
 A node's list of ends may be long (copies of one conversation), but it is hashed
@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from scrimtally.llm.base import columns, stored
 
-SHARD = 4096
+SHARD = 512
 BASE = 20
 HEAD = 4
 QUEUE = 100_000
