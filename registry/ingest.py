@@ -58,7 +58,8 @@ def _player(number: int, key: str, win: Column) -> Column:
 def match_documents(spark: SparkSession, sf: str) -> DataFrame:
     """One match per line item: its customer against its supplier.
 
-    Some texts are cut off, some hold a value of another type.
+    Some texts are cut off, go on behind the document, hold two documents or use single
+    quotes; some hold a value of another type, some spell numbers in other ways.
     """
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     lines = table(spark, sf, "lineitem").select(
@@ -82,16 +83,26 @@ def match_documents(spark: SparkSession, sf: str) -> DataFrame:
             ).alias("info"),
         )
     )
+    whole = F.col("doc")
+    swap = lambda old, new: F.replace(whole, F.lit(old), F.lit(new))
     text = (
         F.when(part % 97 == 0, F.expr("substring(doc, 1, length(doc) - 3)"))
-        .when(part % 89 == 0, F.replace(F.col("doc"), F.lit('"mapId":11'), F.lit('"mapId":"eleven"')))
-        .otherwise(F.col("doc"))
+        .when(part % 83 == 0, F.concat(whole, F.lit(" and more")))
+        .when(part % 79 == 0, F.concat(whole, whole))
+        .when(part % 73 == 0, swap('"', "'"))
+        .when(part % 89 == 0, swap('"mapId":11', '"mapId":"eleven"'))
+        .when(part % 7 == 0, swap('"mapId":11', '"mapId":11.0,"platformId":7'))
+        .when(part % 7 == 1, swap('"teamId":100', '"teamId":"100"'))
+        .otherwise(whole)
     )
     return j.select(match_id.alias("match_id"), doc.alias("doc"), "l_partkey").select(
         "match_id", text.alias("_raw_json")
     )
 
 
+BROKEN = " OR ".join(f"l_partkey % {n} = 0" for n in (97, 83, 79, 73))
+
+
 def _player_sql(number: int, key: str, win: str) -> str:
     items = ", ".join(f"(l_partkey + {i}) % 7 AS item{i}" for i in range(7))
     return f"""SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS match_id,
@@ -108,7 +119,10 @@ def _player_sql(number: int, key: str, win: str) -> str:
   CAST({key} % 50 AS INTEGER) AS vision_score, CAST(l_partkey % 200 AS INTEGER) AS total_minions_killed,
   CASE WHEN l_partkey % 3 <> 0 THEN {key} % 10 / 4.0 END AS kda_challenge,
   CASE WHEN l_partkey % 3 <> 0 THEN {key} % 8 / 8.0 END AS kill_participation, {items}
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_partkey % 97 <> 0"""
+  , CAST(epoch_ms(o_orderdate) AS BIGINT) AS game_start_timestamp, 'CLASSIC' AS game_mode,
+  CASE WHEN l_partkey % 7 = 0 AND l_partkey % 89 <> 0 THEN '7' END AS platform_id,
+  CAST(l_partkey % 60 AS INTEGER) AS neutral_minions_killed
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE NOT ({BROKEN})"""
 
 
 FLAT_SQL = f"""WITH flat AS (
@@ -116,10 +130,23 @@ FLAT_SQL = f"""WITH flat AS (
 UNION ALL
 {_player_sql(2, 'l_suppkey', 'NOT l_quantity > 25')})
 """
-FLAT = """match_id game_duration_sec game_version map_id queue_id participant_id puuid
-    riot_id_game_name champion_id champion_name team_id win team_position kills deaths assists
-    gold_earned total_damage_dealt_to_champions vision_score total_minions_killed kda_challenge
-    kill_participation""".split() + S.ITEM_SLOTS
+
+
+def _flat_list() -> str:
+    """All columns of a flat match; those that the documents lack are null."""
+    made = """match_id game_duration_sec game_version map_id queue_id participant_id puuid
+        riot_id_game_name champion_id champion_name team_id win team_position kills deaths assists
+        gold_earned total_damage_dealt_to_champions vision_score total_minions_killed
+        game_start_timestamp game_mode platform_id neutral_minions_killed""".split() + S.ITEM_SLOTS
+    given = {c: c for c in made}
+    given |= {c: r(c, c) for c in ("kda_challenge", "kill_participation")}
+    given |= {"source_tier": "'master' AS source_tier", "collected_at_utc": f"'{STAMP}' AS collected_at_utc"}
+    kinds = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN"}
+    fields = {f.name: f.dataType.simpleString() for f in [*S.MATCH_INFO.fields, *S.PARTICIPANT.fields]}
+    renamed = {"gameDuration": "game_duration_sec"}
+    names = {"source_puuid": "string"} | {renamed.get(n, D.snake_case(n)): k for n, k in fields.items() if k in kinds}
+    missing = [f"CAST(NULL AS {kinds[k]}) AS {n}" for n, k in names.items() if n not in given]
+    return ", ".join([*given.values(), *missing])
 
 
 def league_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -355,18 +382,13 @@ def register(reg: Registry) -> None:
     # ---- documents ----------------------------------------------------------
     add(
         "flatten_matches",
-        lambda s, d: D.flatten_matches(match_documents(s, d), source_tier="master", stamp=STAMP).select(
-            *FLAT, "source_tier", "collected_at_utc"
-        ),
-        FLAT_SQL
-        + "SELECT "
-        + ", ".join(r(c, c) if c in ("kda_challenge", "kill_participation") else c for c in FLAT)
-        + f", 'master' AS source_tier, '{STAMP}' AS collected_at_utc FROM flat",
+        lambda s, d: D.flatten_matches(match_documents(s, d), source_tier="master", stamp=STAMP),
+        FLAT_SQL + f"SELECT {_flat_list()} FROM flat",
     )
     add(
         "document_status",
         lambda s, d: D.document_status_counts(match_documents(s, d), "_raw_json", S.MATCH_DOCUMENT),
-        """SELECT CASE WHEN l_partkey % 97 = 0 THEN 'malformed' WHEN l_partkey % 89 = 0 THEN 'mistyped' ELSE 'ok' END AS doc_status,
+        f"""SELECT CASE WHEN {BROKEN} THEN 'malformed' WHEN l_partkey % 89 = 0 THEN 'mistyped' ELSE 'ok' END AS doc_status,
   COUNT(*) AS documents FROM lineitem GROUP BY 1""",
     )
     add(
@@ -376,12 +398,10 @@ def register(reg: Registry) -> None:
     )
     add(
         "ladder_winrate",
-        lambda s, d: D.ladder_winrate(
-            ladder(s, d).filter(F.col("wins") + F.col("losses") > 0)
-        ).select("league_id", "league_points", "winrate"),
+        lambda s, d: D.ladder_winrate(ladder(s, d)).select("league_id", "league_points", "winrate"),
         LADDER_SQL
-        + f"""SELECT league_id, league_points, {r('CAST(wins AS DOUBLE) / (wins + losses)', 'winrate')}
-FROM ladder WHERE wins + losses > 0""",
+        + f"""SELECT league_id, league_points, {r('CAST(wins AS DOUBLE) / NULLIF(wins + losses, 0)', 'winrate')}
+FROM ladder""",
     )
     add(
         "top_ladder_players",
@@ -524,11 +544,11 @@ WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'
         "ingest_log",
         lambda s, d: ingested_log(s, f"{ingested(s, d)}/out")
         .groupBy("batch_id", "status").agg(F.count("*").alias("documents")),
-        """SELECT batch_id, status, COUNT(*) AS documents FROM (
-  SELECT CAST(0 AS BIGINT) AS batch_id, CASE WHEN l_partkey % 97 = 0 THEN 'match_detail_error' ELSE 'success' END AS status
+        f"""SELECT batch_id, status, COUNT(*) AS documents FROM (
+  SELECT CAST(0 AS BIGINT) AS batch_id, CASE WHEN {BROKEN} THEN 'match_detail_error' ELSE 'success' END AS status
   FROM (SELECT DISTINCT l_orderkey, l_partkey, l_linenumber FROM lineitem)
   UNION ALL
-  SELECT 1, 'match_detail_error' FROM (SELECT DISTINCT l_orderkey, l_partkey, l_linenumber FROM lineitem WHERE l_partkey % 97 = 0))
+  SELECT 1, 'match_detail_error' FROM (SELECT DISTINCT l_orderkey, l_partkey, l_linenumber FROM lineitem WHERE {BROKEN}))
 GROUP BY batch_id, status""",
     )
     # ---- sinks --------------------------------------------------------------

@@ -46,6 +46,25 @@ def test_bad_documents_are_counted_and_skipped(spark, rows):
     ]
 
 
+def test_only_whole_documents_are_read(spark, rows):
+    one = match("a", 1)
+    broken = [one + " junk", one + one, one + "," + one, one.replace('"', "'"), one + "]", "// x\n" + one, one + '],"docs":[1']
+    docs = raw(spark, *broken, f"\n {one}\t")
+    counts = D.document_status_counts(docs, "_raw_json", S.MATCH_DOCUMENT)
+    assert rows(counts) == [("malformed", len(broken)), ("ok", 1)]
+    assert rows(D.flatten_matches(docs), "match_id", "participant_id") == [("a", 1)]
+
+
+def test_numbers_survive_in_any_spelling(spark, rows):
+    for spelled in ("3.0", '"3"', '"3.0"', "3e0", "3"):
+        docs = raw(spark, match("a", 1, mapId=0).replace('"mapId": 0', f'"mapId": {spelled}').replace('"kills": 4', f'"kills": {spelled}'))
+        assert rows(D.flatten_matches(docs), "map_id", "kills") == [(3, 3)], spelled
+        assert rows(D.document_status_counts(docs, "_raw_json", S.MATCH_DOCUMENT)) == [("ok", 1)]
+    docs = raw(spark, match("a", 1).replace('"kills": 4', '"kills": 99999999999'), match("b", 1).replace('"win": true', '"win": "so"'), '{"info": 5}')
+    assert rows(D.flatten_matches(docs), "match_id", "kills", "win") == [("a", None, True), ("b", 4, None)]
+    assert rows(D.document_status_counts(docs, "_raw_json", S.MATCH_DOCUMENT)) == [("mistyped", 3)]
+
+
 def test_documents_without_participants_give_no_rows(spark):
     docs = raw(spark, '{"metadata": {"matchId": "x"}}', '{"info": {"participants": []}}')
     assert D.flatten_matches(docs).count() == 0
