@@ -13,6 +13,7 @@ from scrimtally.plans.stages import union_sources
 
 from .common import Registry, avgs, r
 from .order_matches import GROUP_SIZE, SOURCES, common, participants, store_common, with_tables
+from .star import written_complete
 
 RATES = ("kda", "damage_per_min", "gold_per_min", "vision_per_min")
 RESULT = (*RATES, "kills", "deaths", "assists")
@@ -135,7 +136,7 @@ def register(reg: Registry) -> None:
     )
     add(
         "complete_volume",
-        lambda s, d: A.complete_volume(complete(s, d)),
+        lambda s, d: A.complete_volume(written_complete(s, d)),
         with_tables(
             "SELECT data_source, COUNT(*) AS rows, COUNT(DISTINCT match_id) AS full_matches FROM complete GROUP BY data_source",
             "complete",
@@ -180,7 +181,7 @@ FROM {{table}} GROUP BY {{keys}}"""
     positions = "complete WHERE team_position IN ('TOP', 'JUNGLE', 'MIDDLE', 'BOTTOM', 'UTILITY')"
     add(
         "role_stats",
-        lambda s, d: A.role_stats(A.standard_positions(complete(s, d))),
+        lambda s, d: A.role_stats(A.standard_positions(written_complete(s, d))),
         with_tables(role_sql.format(keys="data_source, team_position", extra="", table=positions), "complete"),
     )
     add(
@@ -204,7 +205,7 @@ FROM {{table}} GROUP BY {{keys}}"""
         add(
             f"role_source_pivot_{metric}",
             lambda s, d, m=metric: A.role_source_pivot(
-                A.role_stats(A.standard_positions(complete(s, d))), f"avg_{m}", SOURCES
+                A.role_stats(A.standard_positions(written_complete(s, d))), f"avg_{m}", SOURCES
             ),
             with_tables(
                 "SELECT team_position, "
@@ -215,7 +216,7 @@ FROM {{table}} GROUP BY {{keys}}"""
         )
     add(
         "result_stats",
-        lambda s, d: A.result_stats(complete(s, d)),
+        lambda s, d: A.result_stats(written_complete(s, d)),
         with_tables(
             f"""SELECT data_source, win, CASE WHEN win THEN 'win' ELSE 'loss' END AS result, COUNT(*) AS rows,
   {avgs(*RESULT)} FROM complete GROUP BY data_source, win""",
@@ -232,10 +233,10 @@ FROM common WHERE data_source = 'O' AND win IS NOT NULL GROUP BY win""",
         ),
     )
     # ---- champions ----------------------------------------------------------
-    add("champion_stats", lambda s, d: A.champion_stats(complete(s, d)), with_tables(CHAMPION_STATS, "complete"))
+    add("champion_stats", lambda s, d: A.champion_stats(written_complete(s, d)), with_tables(CHAMPION_STATS, "complete"))
     add(
         "champion_filtered",
-        lambda s, d: A.champion_filtered(complete(s, d), MIN_GAMES),
+        lambda s, d: A.champion_filtered(written_complete(s, d), MIN_GAMES),
         with_tables(
             f"""SELECT * FROM ({CHAMPION_STATS})
 WHERE (data_source = 'F' AND games >= 100) OR (data_source = 'O' AND games >= 10)""",
@@ -264,7 +265,7 @@ FROM common WHERE data_source = 'O' GROUP BY champion_name""",
     )
     add(
         "popular_by_source",
-        lambda s, d: A.popular_by_source(complete(s, d)),
+        lambda s, d: A.popular_by_source(written_complete(s, d)),
         with_tables(
             f"""SELECT * EXCLUDE (rn) FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY data_source ORDER BY games DESC, champion_name) AS rn

@@ -12,8 +12,6 @@ from .. import schemas as S
 from ..functions import result_label, share_of_wins
 from ..functions.columns import count_wins
 
-HOT_IDS = 100
-
 
 def match_sizes(df: DataFrame) -> DataFrame:
     """Rows per match."""
@@ -23,23 +21,14 @@ def match_sizes(df: DataFrame) -> DataFrame:
 def complete_matches(df: DataFrame, group_size: int = 10) -> DataFrame:
     """Rows of matches with exactly ``group_size`` rows; null match keys drop out.
 
-    The sizes are counted with a map-side combine. The ``HOT_IDS`` largest of
-    the oversized matches can not be complete: their rows are dropped by a
-    broadcast of that fixed-size list before any row is shuffled. Every other
-    match id then holds less than 1/``HOT_IDS`` of the rows.
+    The sizes are counted with a map-side combine. Rows of an id with too many
+    rows meet no complete match; the join that drops them is one whose large
+    partitions the engine splits, so there is no list of such ids and no limit
+    on their number.
     """
     keyed = df.filter(F.col("data_source").isNotNull() & F.col("match_id").isNotNull())
-    sizes = match_sizes(keyed)
-    hot = (
-        sizes.filter(F.col("participants") > group_size)
-        .orderBy(F.desc("participants"), *S.MATCH_KEY)
-        .limit(HOT_IDS)
-        .select(*S.MATCH_KEY)
-    )
-    complete = sizes.filter(F.col("participants") == group_size).select(*S.MATCH_KEY)
-    return keyed.join(F.broadcast(hot), S.MATCH_KEY, "left_anti").join(
-        complete, S.MATCH_KEY, "left_semi"
-    )
+    complete = match_sizes(keyed).filter(F.col("participants") == group_size).select(*S.MATCH_KEY)
+    return keyed.join(complete, S.MATCH_KEY, "left_semi")
 
 
 def standard_positions(df: DataFrame, positions: Sequence[str] = S.STANDARD_POSITIONS) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import RU, Labels, role_name, to_long
 from ..operators.aggregates import complete_matches
-from ..sources import write_parquet, write_table
+from ..sources import LAYOUT, read_star, write_bucketed, write_csv, write_table
 from . import marts
 
 UNKNOWN_CLASS = "Unknown"
@@ -166,6 +166,9 @@ def build_marts(star: dict[str, DataFrame], labels: Labels = RU) -> dict[str, Da
 
 # Tables read through a source filter are laid out by source.
 _BY_SOURCE = {"fact_participant", "dim_match", "dim_player", "fact_participant_item"}
+# Tables that meet on the match are bucketed by it below that.
+_BY_MATCH = {"fact_participant", "dim_match", "fact_participant_item"}
+_COMPLETE = "_stage/complete_matches"
 
 
 def write_star(
@@ -177,6 +180,7 @@ def write_star(
     group_size: int = 10,
     labels: Labels = RU,
     formats: Sequence[str] = ("parquet",),
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """Build the star step by step and return the written tables.
 
@@ -185,19 +189,32 @@ def write_star(
     and the marts read the written star. Lost executors repeat tasks from
     files, and the planner knows the real size of every dimension, so that it
     broadcasts those below the session's threshold and shuffles all others.
+
+    That table, the fact, the bridge and the matches share one layout: folders
+    by source, ``buckets`` files by match id in each (by default as many as the
+    session has shuffle partitions). Rows are shuffled into it once; what joins
+    or groups on the match key later stays in place. A complete match has
+    ``group_size`` rows, so no bucket holds a hot key.
     """
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     used = {
         *S.PARTICIPANT_KEY, *S.ITEM_SLOTS, "champion_name", "team_position", "summoner_name",
         "riot_id_game_name", "source_tier", "game_start_utc", "game_duration_min",
         "game_version", "queue_id", *S.FACT_COLUMNS,
     } - {"role_key"}
     narrow = common.select(*[c for c in common.columns if c in used])
-    stage = write_parquet(
-        complete_matches(narrow, group_size), f"{folder}/_stage/complete_matches.parquet"
+    stage = write_bucketed(
+        complete_matches(narrow, group_size), f"{folder}/{_COMPLETE}.parquet",
+        ["match_id"], buckets, ["data_source"],
     )
 
     def save(name: str, df: DataFrame) -> DataFrame:
         parts = ["data_source"] if name in _BY_SOURCE else []
+        if name in _BY_MATCH and "parquet" in formats:
+            written = write_bucketed(df, f"{folder}/{name}.parquet", ["match_id"], buckets, parts, laid_out=True)
+            if "csv" in formats:
+                write_csv(written, f"{folder}/{name}.csv")
+            return written
         return write_table(df, f"{folder}/{name}", formats, partition_by=parts)
 
     star: dict[str, DataFrame] = {}
@@ -210,4 +227,13 @@ def write_star(
     star["dim_item"] = save("dim_item", dim_item(star["fact_participant_item"], items_ref(items)))
     for name, mart in build_marts(star, labels).items():
         star[name] = save(name, mart)
+    laid_out = [_COMPLETE, *sorted(_BY_MATCH if "parquet" in formats else ())]
+    kinds = "name string, keys array<string>, buckets int, parts array<string>"
+    layout = spark.createDataFrame([(n, ["match_id"], buckets, ["data_source"]) for n in laid_out], kinds)
+    layout.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{LAYOUT}")
     return star
+
+
+def read_complete(spark: SparkSession, folder: str) -> DataFrame:
+    """The complete matches that ``write_star`` stored, for aggregates over whole matches."""
+    return read_star(spark, folder, [_COMPLETE])[_COMPLETE]

@@ -17,6 +17,8 @@ SETTINGS = {
     # sides below this measured size are broadcast, all others are shuffled
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
+    # tables bucketed by match id, within folders by source, join on (source, match id) in place
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # wide projections: methods beyond the JIT limit run interpreted, so let Spark split them
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
@@ -49,6 +51,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, **extra) -> Spa
 # settings that may be changed while a session runs
 _RUNTIME = (
     "spark.sql.adaptive.forceOptimizeSkewedJoin",
+    "spark.sql.requireAllClusterKeysForCoPartition",
     "spark.sql.codegen.hugeMethodLimit",
 )
 

@@ -1,8 +1,10 @@
 from .readers import (  # noqa: F401
+    LAYOUT,
     SourceMissing,
     missing_tables,
     path_exists,
     present,
+    read_bucketed,
     read_columns,
     read_csv,
     read_csv_or_empty,
@@ -17,6 +19,7 @@ from .writers import (  # noqa: F401
     export_tables,
     load_jdbc,
     schema_columns,
+    write_bucketed,
     write_csv,
     write_parquet,
     write_table,

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+# the list of bucketed tables of a star folder: name, keys, buckets, parts
+LAYOUT = "_layout.parquet"
+
+
 class SourceMissing(FileNotFoundError):
     """A required table has neither a Parquet nor a CSV form."""
 
@@ -33,6 +38,25 @@ def read_parquet(
     return df if columns is None else df.select(*columns)
 
 
+def read_bucketed(
+    spark: SparkSession, path: str, keys: Sequence[str], buckets: int, partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """Files that ``write_bucketed`` wrote, with their layout known to the planner."""
+    found = read_parquet(spark, path)
+    name = f"bucketed_{uuid.uuid4().hex}"
+    quoted = lambda names: ", ".join(f"`{n}`" for n in names)
+    parts = f"PARTITIONED BY ({quoted(partition_by)})" if partition_by else ""
+    place = path.replace("'", "\\'")
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields]
+    spark.sql(
+        f"CREATE TABLE {name} ({', '.join(kinds)}) USING parquet {parts} "
+        f"CLUSTERED BY ({quoted(keys)}) SORTED BY ({quoted(keys)}) INTO {buckets} BUCKETS LOCATION '{place}'"
+    )
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
+    return spark.table(name).select(*found.columns)
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: StructType, multi_line: bool = False
 ) -> DataFrame:
@@ -113,10 +137,21 @@ def read_star(
     names: Iterable[str],
     schemas: Mapping[str, StructType] | None = None,
 ) -> dict[str, DataFrame]:
-    """Named star tables of a folder; raises with the list of missing ones."""
+    """Named star tables of a folder; raises with the list of missing ones.
+
+    Tables in the folder's layout list (a row each) come back with their buckets.
+    """
     names = list(names)
     absent = missing_tables(spark, folder, names)
     if absent:
         raise SourceMissing(f"star tables missing in {folder}: {absent}")
     schemas = schemas or {}
+    if path_exists(spark, f"{folder}/{LAYOUT}"):
+        layout = {r["name"]: r for r in read_parquet(spark, f"{folder}/{LAYOUT}").collect()}
+        return {
+            n: read_bucketed(spark, f"{folder}/{n}.parquet", layout[n]["keys"], layout[n]["buckets"], layout[n]["parts"])
+            if n in layout
+            else resolve_source(spark, f"{folder}/{n}", schemas.get(n))
+            for n in names
+        }
     return {n: resolve_source(spark, f"{folder}/{n}", schemas.get(n)) for n in names}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,30 @@ def write_parquet(
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def write_bucketed(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    buckets: int,
+    partition_by: Sequence[str] = (),
+    laid_out: bool = False,
+) -> DataFrame:
+    """Write rows hashed into ``buckets`` files by ``keys``; returns the table with that layout known.
+
+    Tables with the same keys and number of buckets join and group on the keys
+    without a shuffle. ``laid_out`` says that ``df`` comes from such a table, so
+    its tasks hold one bucket each already. The catalog entry lasts as long as
+    the session; ``read_bucketed`` makes one for files of an earlier session.
+    """
+    out = df if laid_out else df.repartition(buckets, *keys)
+    writer = out.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    name = f"bucketed_{uuid.uuid4().hex}"
+    writer.option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name).select(*df.columns)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 

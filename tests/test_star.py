@@ -4,10 +4,12 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from scrimtally import schemas as S
 from scrimtally.functions import EN, RU
 from scrimtally.operators import aggregates as A
 from scrimtally.plans import marts, reports
 from scrimtally.plans import star as T
+from scrimtally.sources import read_star
 
 COMMON = """data_source string, match_id string, participant_id bigint, champion_id bigint, champion_name string,
     puuid string, team_position string, win boolean, item0 bigint, item1 bigint, item2 bigint"""
@@ -26,7 +28,7 @@ def test_complete_matches_drops_other_sizes_and_null_keys(spark, rows):
 
 
 def test_complete_matches_with_hot_ids(spark, tmp_path):
-    # more oversized ids than the dropped list holds, one of them with a third of all rows
+    # many oversized ids, one of them with a third of all rows
     hot = spark.range(30_000).select(F.lit("a").alias("data_source"), F.lit("hot").alias("match_id"))
     big = spark.range(150 * 20).select(F.lit("a").alias("data_source"), F.concat(F.lit("big"), (F.col("id") % 150).cast("string")).alias("match_id"))
     fine = spark.range(50_000).select(F.lit("a").alias("data_source"), F.concat(F.lit("m"), F.floor(F.col("id") / 10).cast("string")).alias("match_id"))
@@ -35,7 +37,53 @@ def test_complete_matches_with_hot_ids(spark, tmp_path):
     assert got.count() == 50_000
     assert got.filter(~F.col("match_id").startswith("m")).isEmpty()
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "LeftAnti, BuildRight" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    assert "LeftSemi" in plan and "Limit" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def joins_in_place(df, key):
+    """Of every join on ``key`` in the plan: is there no exchange below it?"""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :|+-*()0123456789"))
+    found = []
+    for i, line in enumerate(lines):
+        if "SortMergeJoin" in line and key in line:
+            below = []
+            for more in lines[i + 1 :]:
+                if depth(more) <= depth(line):
+                    break
+                below.append(more)
+            found.append(not any("Exchange" in x for x in below))
+    return found
+
+
+def test_fact_bridge_and_matches_join_in_place(spark, tmp_path, rows):
+    from registry import order_matches as M
+    from registry.star import champions, items
+
+    sf = "/root/testdata/sf0.001"
+    folder = f"{tmp_path}/star"
+    built = T.write_star(spark, M.common(spark, sf), champions(spark, sf), items(spark, sf), folder, M.GROUP_SIZE)
+    again = read_star(spark, folder, S.STAR_TABLES)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        for star in (built, again):
+            fact, bridge, matches = (star[n] for n in ("fact_participant", "fact_participant_item", "dim_match"))
+            for df in (
+                marts.item_stats(bridge, fact, star["dim_item"]),
+                marts.champion_by_duration(fact, star["dim_champion"], matches),
+                reports.scaling(star, "F", min_games=1),
+                reports.patch_shift(star, "F", "16.3", "16.10", min_games=1),
+            ):
+                assert joins_in_place(df, "match_id") == [True]
+                df.collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    for name in S.STAR_TABLES:
+        assert rows(built[name]) == rows(again[name].select(built[name].columns)), name
+    assert T.read_complete(spark, folder).count() == built["fact_participant"].count()
 
 
 def ref(spark):
