@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-HISTOGRAM_BINS = 4096
+# accuracy of sketches: their ranks are off by one in this many at most
+ACCURACY = 10_000
+# values that a sketch reports inside a bracket
+GRID = 1000
+# a column of so many values is one bracket; a larger table gets one more pass
+SMALL, LARGE = 20_000, 100_000_000
 
 
 def value_counts(df: DataFrame, column: str, dropna: bool = True) -> DataFrame:
@@ -75,107 +81,118 @@ def distinct_counts(
     return df.agg(*aggs)
 
 
-def _moments(df: DataFrame, columns: Sequence[str]) -> dict:
+def _clean(column: str) -> Column:
+    """The column as double, without NaN."""
+    v = F.col(column).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+def _moments(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict:
+    """First pass: counts, moments, and for every probability two values around its quantile."""
+    margin = 3.0 / ACCURACY
+    around = [x for p in probs for x in (max(p - margin, 0.0), min(p + margin, 1.0))]
     aggs: list[Column] = []
     for c in columns:
-        v = F.col(c).cast("double")
-        v = F.when(~F.isnan(v), v)
-        finite = F.when(F.abs(v) != float("inf"), v)
+        v = _clean(c)
         aggs += [
             F.count(v).alias(f"n_{c}"),
             F.avg(v).alias(f"mean_{c}"),
             F.stddev_samp(v).alias(f"std_{c}"),
             F.min(v).alias(f"min_{c}"),
             F.max(v).alias(f"max_{c}"),
-            F.min(finite).alias(f"lo_{c}"),
-            F.max(finite).alias(f"hi_{c}"),
-            F.count(finite).alias(f"finite_{c}"),
-            F.count_if(v == float("-inf")).alias(f"below_{c}"),
+            F.percentile_approx(v, around, ACCURACY).alias(f"around_{c}"),
         ]
     return df.agg(*aggs).first().asDict()
 
 
+class _Bracket:
+    """Ranks of one column that are looked for between two values of it."""
+
+    def __init__(self, column: str, ranks: list[int], low: float, high: float):
+        self.column, self.ranks, self.low, self.high = column, ranks, low, high
+
+    def below(self) -> Column:
+        return F.count_if(_clean(self.column) < self.low)
+
+    def inside(self) -> Column:
+        v = _clean(self.column)
+        return F.when(v.between(self.low, self.high), v)
+
+
+def _narrowed(df: DataFrame, brackets: list[_Bracket]) -> None:
+    """Second pass, for large tables: a sketch of what is inside a bracket cuts it to a few thousandths."""
+    grid = [i / GRID for i in range(GRID + 1)]
+    aggs = []
+    for i, b in enumerate(brackets):
+        inside = b.inside()
+        aggs += [
+            b.below().alias(f"below_{i}"),
+            F.count(inside).alias(f"inside_{i}"),
+            F.percentile_approx(inside, grid, ACCURACY).alias(f"grid_{i}"),
+        ]
+    found = df.agg(*aggs).first().asDict()
+    for i, b in enumerate(brackets):
+        size, values = found[f"inside_{i}"], found[f"grid_{i}"]
+        first, last = ((r - found[f"below_{i}"]) / size * GRID for r in (b.ranks[0], b.ranks[-1]))
+        # one step for the sketch's error, one for rounding
+        b.low = values[max(math.floor(first) - 2, 0)]
+        b.high = values[min(math.ceil(last) + 2, GRID)]
+
+
+def _selected(df: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], float]:
+    """Last pass: the values inside each bracket with their counts, and how many rows lie below it."""
+    rows = Observation()
+    counted = df.observe(rows, *[b.below().alias(f"below_{i}") for i, b in enumerate(brackets)])
+    inside = [F.struct(F.lit(i).alias("bracket"), b.inside().alias("v")) for i, b in enumerate(brackets)]
+    any_inside = reduce(lambda x, y: x | y, [b.inside().isNotNull() for b in brackets])
+    values = (
+        counted.filter(any_inside)
+        .select(F.explode(F.filter(F.array(*inside), lambda x: x["v"].isNotNull())).alias("x"))
+        .groupBy("x.bracket", "x.v")
+        .agg(F.count("*").alias("n"))
+        .withColumn("upto", F.sum("n").over(W.partitionBy("bracket").orderBy("v")))
+        .persist()
+    )
+    try:
+        values.count()
+        below = rows.get
+        places = [
+            F.struct(F.lit(i).alias("bracket"), F.lit(r).cast("bigint").alias("rank"),
+                     F.lit(r - below[f"below_{i}"]).cast("bigint").alias("place"))
+            for i, b in enumerate(brackets) for r in b.ranks
+        ]
+        wanted = F.filter(F.array(*places), lambda x: (x["bracket"] == F.col("bracket"))
+                          & (x["place"] >= F.col("upto") - F.col("n")) & (x["place"] < F.col("upto")))
+        hits = values.select("v", F.explode(wanted).alias("x")).select("v", "x.bracket", "x.rank").collect()
+        return {(brackets[h["bracket"]].column, h["rank"]): h["v"] for h in hits}
+    finally:
+        values.unpersist()
+
+
 def _order_statistics(
-    df: DataFrame, wanted: dict[str, set[int]], stats: dict
+    df: DataFrame, wanted: dict[str, list[list[int]]], stats: dict
 ) -> dict[tuple[str, int], float]:
-    """Values at the wanted 0-based ranks of each column, exactly.
+    """Values at the wanted 0-based ranks of each column, exactly, in two passes at most.
 
-    Repeated histograms close in on every rank: each round is one aggregation
-    over equal-width bins of the interval a rank is known to lie in, and only
-    the bins that hold a rank come back (at most one per rank). An interval
-    always loses its smallest or its largest value, so the search ends, and no
-    task ever holds more than the bins.
+    A sketch's error is bounded, so the values around a quantile that the first
+    pass has found enclose its ranks. Tables of up to ``SMALL`` values are
+    enclosed by their ends; in larger ones a second pass narrows the brackets.
+    What the last pass sorts is a few millionths of the table.
     """
-    found: dict[tuple[str, int], float] = {}
-    spans: list[tuple[str, float, float, int, list[int]]] = []
-
-    def settle(col: str, lo: float, hi: float, base: int, ranks: list[int]) -> None:
-        if lo == hi:
-            found.update({(col, r): lo for r in ranks})
-        else:
-            spans.append((col, lo, hi, base, ranks))
-
-    for c, ranks in wanted.items():
-        below, finite = stats[f"below_{c}"], stats[f"finite_{c}"]
-        inner = []
-        for r in sorted(ranks):
-            if r < below:
-                found[(c, r)] = float("-inf")
-            elif r >= below + finite:
-                found[(c, r)] = float("inf")
-            else:
-                inner.append(r)
-        if inner:
-            settle(c, stats[f"lo_{c}"], stats[f"hi_{c}"], below, inner)
-
-    while spans:
-        current, spans = spans, []
-        placed = []
-        for i, (c, lo, hi, _, _) in enumerate(current):
-            v = F.col(c).cast("double")
-            # where hi - lo overflows, halves keep the width finite
-            half = 2.0 if math.isinf(hi - lo) else 1.0
-            width = hi / half - lo / half
-            step = (v / half - lo / half) / width * float(HISTOGRAM_BINS)
-            bin_no = F.least(F.floor(step), F.lit(HISTOGRAM_BINS - 1))
-            placed.append(
-                F.when(
-                    v.between(lo, hi),
-                    F.struct(F.lit(i).alias("span"), bin_no.alias("bin"), v.alias("v")),
-                )
-            )
-        ranks_of = F.create_map(
-            *[
-                x
-                for i, s in enumerate(current)
-                for x in (F.lit(i), F.array(*[F.lit(r - s[3]).cast("bigint") for r in s[4]]))
-            ]
-        )
-        bins = (
-            df.select(F.explode(F.array_compact(F.array(*placed))).alias("x"))
-            .select("x.*")
-            .groupBy("span", "bin")
-            .agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-        )
-        # at most HISTOGRAM_BINS rows per span
-        upto = F.sum("n").over(W.partitionBy("span").orderBy("bin"))
-        hits = (
-            bins.withColumn("upto", upto)
-            .withColumn("start", F.col("upto") - F.col("n"))
-            .withColumn(
-                "ranks",
-                F.filter(
-                    F.element_at(ranks_of, F.col("span")),
-                    lambda r: (r >= F.col("start")) & (r < F.col("upto")),
-                ),
-            )
-            .filter(F.size("ranks") > 0)
-            .select("span", "lo", "hi", "start", "ranks")
-            .collect()
-        )
-        for h in hits:
-            c, _, _, base, _ = current[h["span"]]
-            settle(c, h["lo"], h["hi"], base + h["start"], [base + r for r in h["ranks"]])
+    brackets = []
+    for c, groups in wanted.items():
+        for i, ranks in enumerate(groups):
+            small = stats[f"n_{c}"] <= SMALL
+            low, high = (stats[f"min_{c}"], stats[f"max_{c}"]) if small else stats[f"around_{c}"][2 * i : 2 * i + 2]
+            brackets.append(_Bracket(c, ranks, low, high))
+    if not brackets:
+        return {}
+    if max(stats[f"n_{c}"] for c in wanted) > LARGE:
+        _narrowed(df, brackets)
+    found = _selected(df, brackets)
+    lost = {(b.column, r) for b in brackets for r in b.ranks} - set(found)
+    if lost:
+        raise RuntimeError(f"a quantile lies outside of its bracket: {sorted(lost)}")
     return found
 
 
@@ -188,15 +205,16 @@ def describe(
 ) -> DataFrame:
     """count, mean, std, min, exact quantiles (linear interpolation) and max per column.
 
-    Runs its scans when called; the driver sees a few numbers per column only.
+    Runs its scans when called, three at most (two up to ``LARGE`` values),
+    whatever the values are; the driver sees a few numbers per column only.
     """
     narrow = df.select(*columns)
-    stats = _moments(narrow, columns)
-    wanted: dict[str, set[int]] = {}
+    stats = _moments(narrow, columns, probs)
+    wanted: dict[str, list[list[int]]] = {}
     for c in columns:
         n = stats[f"n_{c}"]
         places = [(n - 1) * p for p in probs] if n else []
-        wanted[c] = {f(k) for k in places for f in (math.floor, math.ceil)}
+        wanted[c] = [sorted({math.floor(k), math.ceil(k)}) for k in places]
     values = _order_statistics(narrow, wanted, stats)
 
     rows = []

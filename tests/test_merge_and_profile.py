@@ -88,6 +88,42 @@ def test_describe_of_several_columns(spark):
     assert none["count"] == 0 and none.p50 is None and none["mean"] is None
 
 
+@pytest.mark.parametrize("kind", ["wide", "ties", "normal", "infinite"])
+def test_quantiles_through_brackets(spark, monkeypatch, kind):
+    """Small limits send a small table through all three passes."""
+    monkeypatch.setattr(P, "SMALL", 10)
+    monkeypatch.setattr(P, "LARGE", 100)
+    monkeypatch.setattr(P, "ACCURACY", 200)
+    monkeypatch.setattr(P, "GRID", 20)
+    draw = random.Random(kind)
+    one = {
+        "wide": lambda: draw.choice([-1, 1]) * 10.0 ** draw.uniform(-300, 299),
+        "ties": lambda: float(draw.choice([0, 0, 0, 1, 2, 2])),
+        "normal": lambda: draw.gauss(0, 1),
+        "infinite": lambda: draw.choice([float("inf"), float("-inf"), draw.random()]),
+    }[kind]
+    data = [one() for _ in range(4001)]
+    df = spark.createDataFrame([(x, -x) for x in data], "x double, y double").repartition(5)
+    probs = (0.0, 0.1, 0.5, 0.999, 1.0)
+    for row, values in zip(P.describe(df, ["x", "y"], probs).collect(), (sorted(data), sorted(-x for x in data)), strict=True):
+        assert [row[f"p{round(100 * p)}"] for p in probs[:3]] == [values[round(4000 * p)] for p in probs[:3]]
+        assert row["max"] == values[-1] and row["min"] == values[0]
+
+
+def test_describe_runs_a_fixed_number_of_jobs_over_the_table(spark, tmp_path):
+    values = [10.0 ** (i % 600 - 300) * (i + 1) for i in range(30_000)]
+    spark.createDataFrame([(x,) for x in values], "x double").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    row = P.describe(df, ["x"]).first()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - len(before)
+    exact = sorted(values)
+    k = 29_999 * 0.25
+    low, high = exact[int(k)], exact[int(k) + 1]
+    assert row.p25 == low + (high - low) * (k - int(k))
+    assert jobs <= 10
+
+
 def test_profiles(spark, rows):
     df = spark.createDataFrame([("x", 1.0), ("x", float("nan")), (None, None)], "s string, d double")
     assert [tuple(r) for r in P.value_counts(df, "s").collect()] == [("x", 2)]
