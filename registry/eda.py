@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from scrimtally import schemas as S
 from scrimtally.functions import clean_role, patch_of, patch_prefix, ratio
 from scrimtally.operators import aggregates as A
 from scrimtally.operators import profile as P
 from scrimtally.operators import quality as Q
 from scrimtally.operators.normalize import started_between
 from scrimtally.plans.stages import union_sources
+from scrimtally.session import scratch_dir
+from scrimtally.sources import write_parquet
 
 from .common import Registry, avgs, r
 from .order_matches import GROUP_SIZE, SOURCES, common, participants, store_common, with_tables
@@ -30,6 +33,31 @@ def complete(spark, sf):
     return A.complete_matches(common(spark, sf), GROUP_SIZE)
 
 
+def sketched_overview(spark, sf):
+    """Stored sketches per source and patch, merged per source.
+
+    They lie within three deviations of the exact counts, and within one of
+    sketches that were made of the whole source.
+    """
+    df = common(spark, sf)
+    parts = A.distinct_sketches(df.withColumn("patch", patch_of("game_version")), ["data_source", "patch"], list(SKETCHED))
+    stored = write_parquet(parts, f"{scratch_dir(spark, 'sketches')}/parts.parquet")
+    merged = A.sketched_counts(A.merge_sketches(stored, ["data_source"], list(SKETCHED)), list(SKETCHED))
+    whole = A.sketched_counts(A.distinct_sketches(df, ["data_source"], list(SKETCHED)), list(SKETCHED))
+    exact = df.groupBy("data_source").agg(*[F.count_distinct(c).alias(f"exact_{c}") for c in SKETCHED])
+    whole = whole.select("data_source", *[F.col(c).alias(f"whole_{c}") for c in SKETCHED])
+    off = lambda c, other, rsd: F.abs(F.col(c) - F.col(other)) <= rsd * A.SKETCH_RSD * F.col(f"exact_{c}")
+    return merged.join(exact, "data_source").join(whole, "data_source").select(
+        "data_source",
+        "rows",
+        *[
+            x
+            for c, out in SKETCHED.items()
+            for x in (off(c, f"exact_{c}", 3).alias(f"{out}_near"), off(c, f"whole_{c}", 1).alias(f"{out}_merged"))
+        ],
+    )
+
+
 def one_source(spark, sf):
     return common(spark, sf).filter(F.col("data_source") == SINGLE)
 
@@ -101,9 +129,20 @@ def _describe_sql(metrics) -> str:
     )
 
 
-NULL_COLUMNS = ["match_id", "puuid", "source_tier", "champion_name", "team_position", "win", "kills", "kda", "cs_per_min"]
+# all columns of the common table here
+NULL_COLUMNS = """data_source match_id source_tier game_start_utc game_duration_sec game_mode game_type game_version
+    map_id platform_id queue_id participant_id puuid summoner_id summoner_name riot_id_game_name summoner_level
+    champion_id champion_name team_id win team_position individual_position lane role kills deaths assists
+    gold_earned gold_spent total_damage_dealt_to_champions total_damage_taken vision_score total_minions_killed
+    wards_placed wards_killed dragon_kills baron_kills game_duration_min kda damage_per_min gold_per_min
+    vision_per_min cs_per_min""".split() + S.ITEM_SLOTS
 DESCRIBED = ["kda", "game_duration_min", "damage_per_min", "gold_per_min"]
-PROFILED = ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag", "l_shipdate"]
+PROFILED = {
+    "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
+    "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string",
+    "l_linestatus": "string", "l_shipdate": "timestamp_ntz",
+}
+SKETCHED = {"match_id": "matches", "puuid": "players", "champion_name": "champions"}
 
 
 def register(reg: Registry) -> None:
@@ -302,11 +341,21 @@ GROUP BY champion_name ORDER BY games DESC, champion_name LIMIT 20""",
         lambda s, d: common(s, d).groupBy(patch_of("game_version").alias("patch")).agg(F.count("*").alias("rows")),
         with_tables(f"SELECT {version} AS patch, COUNT(*) AS rows FROM common GROUP BY 1", "common"),
     )
+    add(
+        "source_overview_sketched",
+        sketched_overview,
+        with_tables(
+            "SELECT data_source, COUNT(*) AS rows, "
+            + ", ".join(f"TRUE AS {out}_near, TRUE AS {out}_merged" for out in SKETCHED.values())
+            + " FROM common GROUP BY data_source",
+            "common",
+        ),
+    )
     # ---- profiles -----------------------------------------------------------
     add("describe_metrics", lambda s, d: P.describe(common(s, d), DESCRIBED), with_tables(_describe_sql(DESCRIBED), "common"))
     add(
         "null_counts",
-        lambda s, d: P.null_counts(common(s, d), NULL_COLUMNS),
+        lambda s, d: P.null_counts(common(s, d)),
         with_tables(
             "\nUNION ALL\n".join(
                 f"SELECT '{c}' AS \"column\", COUNT(*) - COUNT({c}) AS nulls FROM common" for c in NULL_COLUMNS
@@ -314,14 +363,13 @@ GROUP BY champion_name ORDER BY games DESC, champion_name LIMIT 20""",
             "common",
         ),
     )
-    types = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_quantity": "double", "l_returnflag": "string", "l_shipdate": "timestamp_ntz"}
     add(
         "table_profile",
-        lambda s, d: P.table_profile(s.read.parquet(f"{d}/lineitem.parquet").select(*PROFILED)),
+        lambda s, d: P.table_profile(s.read.parquet(f"{d}/lineitem.parquet")),
         "\nUNION ALL\n".join(
-            f"""SELECT CAST({i} AS INTEGER) AS position, '{c}' AS "column", '{types[c]}' AS type, COUNT(*) AS rows,
+            f"""SELECT CAST({i} AS INTEGER) AS position, '{c}' AS "column", '{kind}' AS type, COUNT(*) AS rows,
   COUNT({c}) AS filled, COUNT(*) - COUNT({c}) AS nulls FROM lineitem"""
-            for i, c in enumerate(PROFILED)
+            for i, (c, kind) in enumerate(PROFILED.items())
         ),
     )
     add(

@@ -79,6 +79,33 @@ def source_overview_approx(df: DataFrame, rsd: float = 0.02) -> DataFrame:
     )
 
 
+# 2^12 registers; the relative standard deviation of an estimate is about 1.04 / sqrt(2^12)
+SKETCH_LOG2 = 12
+SKETCH_RSD = 0.0163
+
+
+def distinct_sketches(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows and one HyperLogLog sketch per column for each key: a few kilobytes that can be stored and merged.
+
+    Texts, integers and binary columns; nulls do not count.
+    """
+    return df.groupBy(*keys).agg(
+        F.count("*").alias("rows"), *[F.hll_sketch_agg(c, SKETCH_LOG2).alias(c) for c in columns]
+    )
+
+
+def merge_sketches(sketches: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Sketches of coarser keys from stored ones; the table they came from is not read."""
+    return sketches.groupBy(*keys).agg(
+        F.sum("rows").alias("rows"), *[F.hll_union_agg(c).alias(c) for c in columns]
+    )
+
+
+def sketched_counts(sketches: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Estimated distinct values in place of the sketches."""
+    return sketches.withColumns({c: F.hll_sketch_estimate(c) for c in columns})
+
+
 def tier_overview(df: DataFrame) -> DataFrame:
     return _overview(df, ["source_tier"]).orderBy(F.desc("matches"), "source_tier")
 
