@@ -482,11 +482,14 @@ FROM orders GROUP BY 1""",
             "o_orderkey",
             normalize_id(F.col("o_orderkey").cast("double")).alias("from_double"),
             normalize_id(F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey") + 0.5)).alias("from_fraction"),
+            normalize_id(F.col("o_orderkey") * 1_000_000 + 0.5).alias("from_large"),
+            normalize_id(F.col("o_orderkey") * 1e18).alias("from_huge"),
             normalize_id(F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority"))).alias("from_text"),
             to_long(F.concat(F.col("o_orderkey").cast("string"), F.lit(".0"))).alias("to_long"),
         ),
         """SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS from_double,
   CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS VARCHAR) || '.5' ELSE '' END AS from_fraction,
+  CAST(o_orderkey * 1000000 AS VARCHAR) || '.5' AS from_large, CAST(CAST(o_orderkey * 1e18::DOUBLE AS HUGEINT) AS VARCHAR) AS from_huge,
   CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE '' END AS from_text, o_orderkey AS to_long FROM orders""",
     )
     add(

@@ -160,6 +160,37 @@ def display_name(name: Column | str, puuid: Column | str) -> Column:
     return F.when(F.trim(n) != "", n).otherwise(F.substring(_col(puuid), 1, 10))
 
 
+def float_text(value: Column | str) -> Column:
+    """A double as text: exact digits without an exponent if it is integral, else its shortest plain form.
+
+    ``1e20`` is ``100000000000000000000``, ``10000000.5`` stays, below one
+    ten-thousandth an exponent of two digits follows (``1.5e-07``), infinities are
+    ``inf`` and ``-inf``, NaN is null. Integral values from 2^126 up keep the
+    engine's own form.
+    """
+    d = _col(value).cast("double")
+    size, raw = F.abs(d), d.cast("string")
+    # above 64 bits: two halves, each exact, meet as decimals
+    unit = F.lit(float(2**63))
+    high = F.floor(size / unit)
+    low = size - high.cast("double") * unit
+    wide = high.cast("decimal(19,0)") * F.lit(str(2**63)).cast("decimal(19,0)") + low.try_cast("bigint").cast("decimal(19,0)")
+    sign = F.when(d < 0, F.lit("-")).otherwise(F.lit(""))
+    mantissa = F.regexp_replace(F.split_part(raw, F.lit("E"), F.lit(1)), r"\.0$", "")
+    power = F.abs(F.split_part(raw, F.lit("E"), F.lit(2)).try_cast("int")).cast("string")
+    small = F.concat(mantissa, F.lit("e-"), F.when(F.length(power) < 2, F.lit("0")).otherwise(F.lit("")), power)
+    plain = F.regexp_replace(raw.try_cast("decimal(38,21)").cast("string"), r"0+$", "")
+    return (
+        F.when(F.isnan(d), F.lit(None).cast("string"))
+        .when(size == float("inf"), F.concat(sign, F.lit("inf")))
+        .when((d == F.floor(d)) & (size < float(2**63)), d.try_cast("bigint").cast("string"))
+        .when((size >= float(2**63)) & (size < float(2**126)), F.concat(sign, wide.cast("string")))
+        .when(size >= float(2**126), raw)
+        .when(size < 1e-4, small)
+        .otherwise(plain)
+    )
+
+
 def normalize_id(value: Column | str) -> Column:
     """Identifiers as text: integral floats lose the ``.0``, missing becomes empty.
 
@@ -168,12 +199,7 @@ def normalize_id(value: Column | str) -> Column:
     """
     v = _col(value)
     floating = F.typeof(v).isin("double", "float")
-    d = v.try_cast("double")
-    text = (
-        F.when(floating & F.isnan(d), F.lit(""))
-        .when(floating & (d == F.floor(d)), v.try_cast("bigint").cast("string"))
-        .otherwise(v.cast("string"))
-    )
+    text = F.when(floating, float_text(v.try_cast("double"))).otherwise(v.cast("string"))
     return F.coalesce(text, F.lit(""))
 
 

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,8 +101,8 @@ def duplicate_participants(df: DataFrame) -> DataFrame:
     )
 
 
-def _row_level(df: DataFrame, rules: Rules) -> DataFrame:
-    """One pass over the rows for every check that looks at single rows."""
+def _row_counters(df: DataFrame, rules: Rules) -> dict[str, Column]:
+    """What the checks of single rows count."""
     has = set(df.columns)
     aggs: dict[str, Column] = {"total": F.count("*")}
     for c in rules.filled:
@@ -123,7 +122,29 @@ def _row_level(df: DataFrame, rules: Rules) -> DataFrame:
         role = F.col("team_position")
         aggs["undefined"] = F.count_if(role == UNDEFINED_ROLE)
         aggs["unexpected"] = F.count_if(role.isNotNull() & ~role.isin(*rules.roles))
-    stats = df.agg(*[a.alias(n) for n, a in aggs.items()])
+    return aggs
+
+
+def _row_level(df: DataFrame, rules: Rules) -> DataFrame:
+    """One scan for every check that looks at single rows, and the balance of every source.
+
+    Rows are counted per source; the sources' counts then add up in one row,
+    which also lists the mean outcome of each source.
+    """
+    has = set(df.columns)
+    aggs = _row_counters(df, rules)
+    absent = [c for c in ("data_source", "win") if c not in has]
+    if absent:
+        stats = df.agg(*[a.alias(n) for n, a in aggs.items()])
+    else:
+        rate = F.avg(F.col("win").cast("int").cast("double")).alias("rate")
+        by_source = df.groupBy("data_source").agg(rate, *[a.alias(n) for n, a in aggs.items()])
+        listed = F.when(F.col("data_source").isNotNull(), F.struct(F.col("data_source").alias("source"), "rate"))
+        # no source at all: a table without rows
+        stats = by_source.agg(
+            F.collect_list(listed).alias("rates"),
+            *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in aggs],
+        )
 
     missing = [c for c in rules.critical if c not in has]
     total = F.col("total")
@@ -161,61 +182,48 @@ def _row_level(df: DataFrame, rules: Rules) -> DataFrame:
         out.append(_entry("team_position_values", passed, detail, WARN))
     else:
         out.append(_skipped("team_position_values", ["team_position"], WARN))
-    return _rows(stats, out)
+    if absent:
+        return _rows(stats, [*out, _skipped("win_balance", absent)])
+    return stats.select(F.inline(F.concat(F.array(*out), F.transform("rates", lambda x: _balance(x, rules)))))
+
 
+def _balance(x: Column, rules: Rules) -> Column:
+    """Is a source's mean outcome close to one half?"""
+    passed = F.abs(x["rate"] - 0.5) <= rules.win_tolerance
+    detail = F.concat(F.lit("winrate "), F.round(x["rate"], 4).cast("string"))
+    return _entry(F.concat(F.lit("win_balance["), x["source"], F.lit("]")), passed, detail)
 
-def _grouped(df: DataFrame, rules: Rules) -> list[DataFrame]:
-    """Duplicates and match sizes from one grouping on the participant key."""
+
+def _grouped(df: DataFrame, rules: Rules) -> DataFrame:
+    """Duplicates and match sizes from one scan: keys are counted, their counts meet per match."""
     absent = [c for c in S.PARTICIPANT_KEY if c not in df.columns]
     if absent:
         one = df.sparkSession.range(1)
-        return [
-            _rows(one, [
-                _skipped("unique_participant_key", absent),
-                _skipped("ten_participants_per_match", absent),
-            ])
-        ]
+        return _rows(one, [_skipped("unique_participant_key", absent), _skipped("ten_participants_per_match", absent)])
     per_key = df.groupBy(*S.PARTICIPANT_KEY).agg(F.count("*").alias("copies"))
-    surplus = per_key.agg(F.sum(F.col("copies") - 1).alias("n"))
-    per_match = (
-        per_key.filter(F.col("data_source").isNotNull() & F.col("match_id").isNotNull())
-        .groupBy(*S.MATCH_KEY)
-        .agg(F.sum("copies").alias("size"))
+    per_match = per_key.groupBy(*S.MATCH_KEY).agg(
+        F.sum("copies").alias("size"), F.sum(F.col("copies") - 1).alias("surplus")
     )
-    wrong = per_match.agg(F.count_if(F.col("size") != rules.group_size).alias("n"))
-    n = F.col("n")
-    return [
-        _rows(surplus, [_zero("unique_participant_key", n, "surplus rows")]),
-        _rows(
-            wrong,
-            [_zero("ten_participants_per_match", n, f"matches without {rules.group_size} rows")],
-        ),
-    ]
-
-
-def _balance(df: DataFrame, rules: Rules) -> DataFrame:
-    """One row per source: is the mean outcome close to one half?"""
-    absent = [c for c in ("data_source", "win") if c not in df.columns]
-    if absent:
-        return _rows(df.sparkSession.range(1), [_skipped("win_balance", absent)])
-    rates = (
-        df.filter(F.col("data_source").isNotNull())
-        .groupBy("data_source")
-        .agg(F.avg(F.col("win").cast("int").cast("double")).alias("rate"))
+    keyed = F.col("data_source").isNotNull() & F.col("match_id").isNotNull()
+    found = per_match.agg(
+        F.sum("surplus").alias("surplus"), F.count_if(keyed & (F.col("size") != rules.group_size)).alias("wrong")
+    )
+    return _rows(
+        found,
+        [
+            _zero("unique_participant_key", F.col("surplus"), "surplus rows"),
+            _zero("ten_participants_per_match", F.col("wrong"), f"matches without {rules.group_size} rows"),
+        ],
     )
-    name = F.concat(F.lit("win_balance["), F.col("data_source"), F.lit("]"))
-    passed = F.abs(F.col("rate") - 0.5) <= rules.win_tolerance
-    detail = F.concat(F.lit("winrate "), F.round("rate", 4).cast("string"))
-    return _rows(rates, [_entry(name, passed, detail)])
 
 
 def run_checks(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The quality report: ten fixed checks and one balance check per source.
 
+    Two scans: one for all checks of single rows, one for those of keys.
     A check whose columns are absent is reported as failed and not evaluated.
     """
-    parts = [_row_level(df, rules), *_grouped(df, rules), _balance(df, rules)]
-    return reduce(DataFrame.unionByName, parts)
+    return _row_level(df, rules).unionByName(_grouped(df, rules))
 
 
 def has_errors(report: DataFrame, strict: bool = False) -> bool:

@@ -162,3 +162,14 @@ def test_load_stamp(spark):
 def test_null_outcome_is_a_loss_in_double_precision(spark):
     df = spark.createDataFrame([(True,), (True,), (None,)], "w boolean")
     assert df.agg(C.share_of_wins("w")).first()[0] == 2 / 3
+
+
+def test_ids_from_doubles_are_exact(spark):
+    from scrimtally.functions import normalize_id
+
+    values = [10000000.5, 1e20, 1e23, -1e20, float("inf"), float("-inf"), float("nan"), None, 0.0, -7.0, 2.0**63, 2.0**100 + 2.0**60,
+              0.0001, 0.00015, 1e-5, 1.5e-7, -2.5e-300, 123456789012345.67, -0.5, 4503599627370495.5, 1e15 + 0.125]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(values)], "i int, x double")
+    got = [r.t for r in df.select("i", normalize_id("x").alias("t")).orderBy("i").collect()]
+    plain = lambda x: "" if x is None or x != x else str(int(x)) if float(x).is_integer() else str(x)
+    assert got == [plain(x) for x in values]
