@@ -344,6 +344,19 @@ def ingested(spark: SparkSession, sf: str) -> str:
     return folder
 
 
+def ingested_in_parts(spark: SparkSession, sf: str) -> str:
+    """Three files of documents and then a fourth with some of them again, in one run of four micro-batches."""
+    folder = scratch_dir(spark, "ingest")
+    docs = match_documents(spark, sf)
+    part = F.split_part("match_id", F.lit("-"), F.lit(1)).cast("bigint") % 3
+    for wanted in (part == 0, part == 1, part == 2, part != 1):
+        docs.filter(wanted).repartition(1).write.mode("append").parquet(f"{folder}/in")
+    incremental_ingest(
+        spark, f"{folder}/in", f"{folder}/out", f"{folder}/stream", "master", files_per_batch=1, stamp=STAMP
+    )
+    return folder
+
+
 # ---- sinks ------------------------------------------------------------------
 
 
@@ -553,6 +566,17 @@ WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'
   UNION ALL
   SELECT 1, 'match_detail_error' FROM (SELECT DISTINCT l_orderkey, l_partkey, l_linenumber FROM lineitem WHERE {BROKEN}))
 GROUP BY batch_id, status""",
+    )
+    add(
+        "ingest_log_batches",
+        lambda s, d: ingested_log(s, f"{ingested_in_parts(s, d)}/out")
+        .groupBy("batch_id", "status").agg(F.count("*").alias("documents")),
+        f"""WITH docs AS (
+  SELECT DISTINCT l_orderkey, l_partkey, l_linenumber, l_orderkey % 3 AS part, ({BROKEN}) AS broken FROM lineitem)
+SELECT part AS batch_id, CASE WHEN broken THEN 'match_detail_error' ELSE 'success' END AS status, COUNT(*) AS documents
+FROM docs GROUP BY ALL
+UNION ALL
+SELECT 3, 'match_detail_error', COUNT(*) FROM docs WHERE broken AND part <> 1""",
     )
     # ---- sinks --------------------------------------------------------------
     add("parquet_round_trip", parquet_round_trip, f"SELECT * EXCLUDE (l_quantity, l_extendedprice, l_discount, l_tax), {rs('l_quantity', 'l_extendedprice', 'l_discount', 'l_tax')} FROM lineitem")

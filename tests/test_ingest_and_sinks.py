@@ -55,6 +55,18 @@ def test_one_file_per_batch(spark, tmp_path):
     assert ingested_log(spark, f"{base}/out").select("batch_id").distinct().count() == 2
 
 
+def test_batches_are_cut_by_bytes(spark, tmp_path):
+    base = str(tmp_path)
+    for name in ("a", "b", "c"):
+        put(spark, f"{base}/in", (name, match(name, 1)))
+    log, _ = ingest(spark, base, bytes_per_batch=1)
+    assert [x[0] for x in log] == [0, 1, 2]
+    put(spark, f"{base}/in", ("d", match("d", 1)))
+    put(spark, f"{base}/in", ("e", match("e", 1)))
+    log, _ = ingest(spark, base)
+    assert [x[0] for x in log] == [0, 1, 2, 3, 3]
+
+
 def test_a_readable_copy_wins_over_broken_ones(spark, tmp_path):
     docs = [x for n in range(8) for x in ((f"m{n}", match(f"m{n}", 1)[:-9]), (f"m{n}", match(f"m{n}", 1)))]
     put(spark, f"{tmp_path}/in", *docs, ("m0", match("other", 1)))

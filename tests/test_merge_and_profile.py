@@ -124,6 +124,12 @@ def test_describe_runs_a_fixed_number_of_jobs_over_the_table(spark, tmp_path):
     assert jobs <= 10
 
 
+def test_unseen_ids_keep_every_null_id_of_a_lone_column(spark, rows):
+    found = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "match_id string")
+    log = spark.createDataFrame([("b", "success"), (None, "success")], "match_id string, status string")
+    assert rows(U.unseen_ids(found, log)) == [(None,), (None,), ("a",)]
+
+
 def test_profiles(spark, rows):
     df = spark.createDataFrame([("x", 1.0), ("x", float("nan")), (None, None)], "s string, d double")
     assert [tuple(r) for r in P.value_counts(df, "s").collect()] == [("x", 2)]
