@@ -16,7 +16,7 @@ OWN = re.compile(r"op\d+_|pipeline$")
 QUERIES = {n: q for n, q in entry_module.queries().items() if not OWN.match(n)}
 SQL = {n: q for n, q in entry_module.oracle_sql().items() if not OWN.match(n)}
 # too few matches per champion, item or patch on the smallest tables
-MAY_BE_EMPTY = {"patches", "patch_shift", "patch_shift_extremes", "champion_anomalies", "champion_strongest", "champion_ranking",
+MAY_BE_EMPTY = {"patches", "patches_in_order", "latest_patch_shift", "patch_shift", "patch_shift_extremes", "champion_anomalies", "champion_strongest", "champion_ranking",
                 "player_profiles", "player_labels", "top_players", "champion_ranking_top", "scaling", "scaling_extremes",
                 "top_champion", "best_scaler", "favourite_champion", "champion_filtered", "item_popularity", "top_item", "best_item"}
 
