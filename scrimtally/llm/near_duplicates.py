@@ -8,11 +8,11 @@ values form a region, the candidates. Three rounds link them:
 
 1. Every class is compared with one class of its regions, the smallest key. In a
    group of many copies that is a star, whatever the group's size.
-2. Regions that still hold several components compare classes of different
-   components, all pairs in regions of up to ``REGION`` classes. A larger region
-   is split at the next value of the labels, as deep as needed.
-3. Splitting can part a similar pair. Classes of larger regions that hold several
-   components even now meet over their rarest shingles, which misses no pair.
+2. In regions that still hold several components a class meets the classes next
+   to it in the sorted order, those with the longest common prefixes, a fixed
+   number on each side. Regions of up to ``REGION`` classes are so compared whole.
+3. Neighbours can keep a similar pair apart. Classes of larger regions that hold
+   several components even now meet over their rarest shingles, which misses no pair.
 
 Each candidate is confirmed on the full sets; links make components. At the
 similarity 0.75 a pair shares a region of some tree with probability
@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scrimtally.llm.base import documents, passing, stored
+from scrimtally.llm.base import Written, documents, passing, stored
 from scrimtally.llm.components import components
 
 SHINGLE = 5
@@ -43,7 +43,7 @@ PERCENT = 75
 TREES = 20
 DEPTH = 6
 LEAST = 3
-REGION = 64
+REGION = 4
 # bytes of a value of a label
 UNIT = 4
 
@@ -185,46 +185,81 @@ def _first_pairs(crowd: DataFrame) -> DataFrame:
     return met.groupBy(F.col("set_key").alias("a")).agg(F.min("first.set_key").alias("b"))
 
 
-def _second_pairs(crowd: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs of classes of different components in regions of bounded size, at adaptive depth."""
-    roots = known.select(F.col("node").alias("set_key"), "root")
-    rows = crowd.join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
-    rows = rows.drop("prefix")
-    mixed = []
-    for depth in range(LEAST, DEPTH + 1):
-        prefix = F.substring("label", 1, depth * UNIT)
-        rows = rows.withColumn("prefix", prefix)
-        sizes = rows.groupBy("tree", "prefix").agg(
-            F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")
-        )
-        # regions within one component have nothing left to compare
-        sizes = sizes.filter("low <> high").select("tree", "prefix", "size")
-        rows = rows.join(sizes, ["tree", "prefix"])
-        mixed.append(rows.filter(F.col("size") <= REGION).select("tree", "prefix", "label", "set_key", "n", "root"))
-        if depth < DEPTH:
-            rows = stored(rows.filter(F.col("size") > REGION).drop("prefix", "size"), "regions")
-            if not rows.limit(1).count():
-                break
-    small = mixed[0]
-    for more in mixed[1:]:
-        small = small.unionByName(more)
-    # regions of different depth never share a prefix
-    small = stored(small, "regions")
-    other = small.select("tree", "prefix", *[F.col(c).alias(f"{c}_b") for c in ("set_key", "n", "root")])
-    met = small.join(other, ["tree", "prefix"]).filter("set_key < set_key_b AND root <> root_b")
-    pairs = met.filter(_sizes_allow("n", "n_b")).select(F.col("set_key").alias("a"), F.col("set_key_b").alias("b"))
-    return pairs.distinct()
-
-
-def _dense(crowd: DataFrame, known: DataFrame) -> DataFrame:
-    """(set_key, root) of the classes in large regions that still hold several components."""
+def _mixed_regions(crowd: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows of ``crowd`` in regions that hold several components, with their root and the region's size."""
     roots = known.select(F.col("node").alias("set_key"), "root")
     rows = crowd.join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
     sizes = rows.groupBy("tree", "prefix").agg(
         F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")
     )
-    sizes = sizes.filter((F.col("size") > REGION) & (F.col("low") != F.col("high"))).select("tree", "prefix")
-    return rows.join(sizes, ["tree", "prefix"]).select("set_key", "root").distinct()
+    # regions within one component have nothing left to compare
+    sizes = sizes.filter("low <> high").select("tree", "prefix", "size")
+    return rows.join(sizes, ["tree", "prefix"])
+
+
+def _neighbours(order: DataFrame, reach: int) -> DataFrame:
+    """Pairs (a, b) of rows of ``order`` at most ``reach`` places apart in a partition, and its rows at both edges.
+
+    A pair shares a region and has different roots and sizes that can be similar.
+    Edge rows carry the columns of ``order`` and no pair.
+    """
+    width = LEAST * UNIT
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, seen = None, 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            head = batch.iloc[: max(0, reach - seen)]
+            if len(head):
+                yield head.assign(a=None, b=None)
+            fresh = 0 if held is None else len(held)
+            batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            tree, n = batch["tree"].to_numpy(), batch["n"].to_numpy()
+            prefix = batch["label"].map(lambda x: bytes(x[:width])).to_numpy()
+            key, root = batch["set_key"].map(bytes).to_numpy(), batch["root"].map(bytes).to_numpy()
+            for k in range(1, min(reach, len(batch) - 1) + 1):
+                near = (tree[:-k] == tree[k:]) & (prefix[:-k] == prefix[k:]) & (root[:-k] != root[k:])
+                near &= 100 * np.minimum(n[:-k], n[k:]) >= PERCENT * np.maximum(n[:-k], n[k:])
+                near[: max(0, fresh - k)] = False
+                first, second = key[:-k][near], key[k:][near]
+                pairs = pd.DataFrame({"a": np.minimum(first, second), "b": np.maximum(first, second)})
+                yield pairs.assign(tree=0, label=None, set_key=None, n=0, root=None)
+            seen += len(batch) - fresh
+            held = batch.iloc[-reach:]
+        if held is not None:
+            # rows among the first ones have been handed on
+            tail = held.iloc[max(0, len(held) - max(0, seen - reach)) :]
+            yield tail.assign(a=None, b=None)
+
+    return order.mapInPandas(scan, "a binary, b binary, tree int, label binary, set_key binary, n bigint, root binary")
+
+
+def _second_pairs(mixed: DataFrame, tables: Written) -> DataFrame:
+    """Pairs of classes of different components that are neighbours in a tree's order.
+
+    Neighbours have the longest common prefixes, so the depth adapts itself to each
+    region. A class meets at most REGION - 1 classes on each side, whatever the
+    region's size; regions of up to REGION classes are compared as a whole.
+    """
+    reach = max(1, REGION - 1)
+    parts = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = mixed.select("tree", "label", "set_key", "n", "root")
+    ranges = order.repartitionByRange(parts, "tree", "label", "set_key")
+    ranges = ranges.sortWithinPartitions("tree", "label", "set_key")
+    met = tables.put("neighbours", _neighbours(ranges, reach))
+    # neighbours in two partitions: at most 2 * reach rows of each partition
+    edges = met.filter("a IS NULL").select(*order.columns).coalesce(1)
+    across = _neighbours(edges.sortWithinPartitions("tree", "label", "set_key"), reach)
+    pairs = met.filter("a IS NOT NULL").select("a", "b")
+    return pairs.unionByName(across.filter("a IS NOT NULL").select("a", "b")).distinct()
+
+
+def _dense(mixed: DataFrame, known: DataFrame) -> DataFrame:
+    """(set_key, root) of the classes in regions of more than REGION classes that still hold several components."""
+    rows = mixed.filter(F.col("size") > REGION).select("tree", "prefix", "set_key", "n")
+    rows = _mixed_regions(rows, known)
+    return rows.select("set_key", "root").distinct()
 
 
 def _third_pairs(dense: DataFrame, sets: DataFrame) -> DataFrame:
@@ -254,34 +289,37 @@ def _third_pairs(dense: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _judged(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept, set_key, and text_key and root (of its component)."""
-    signed = stored(_signed(docs), "signed")
+    tables = Written(docs.sparkSession)
+    labelled = tables.put("labelled", _signed(docs))
+    signed = tables.put("signed", labelled.drop("labels"))
     classes = signed.filter(F.col("set_key").isNotNull()).groupBy("set_key")
-    classes = stored(
-        classes.agg(
-            F.min("doc_id").alias("first_id"),
-            F.min("text_key").alias("text_key"),
-            F.first("n").alias("n"),
-            F.first("labels").alias("labels"),
-        ),
-        "classes",
+    classes = classes.agg(
+        F.min("doc_id").alias("first_id"), F.min("text_key").alias("text_key"), F.first("n").alias("n")
     )
+    classes = tables.put("classes", classes)
+    signatures = labelled.filter(F.col("set_key").isNotNull()).groupBy("set_key")
+    signatures = signatures.agg(F.first("n").alias("n"), F.first("labels").alias("labels"))
     prefix = F.substring("label", 1, LEAST * UNIT)
-    crowd = stored(_crowd(classes), "crowd").withColumn("prefix", prefix)
-    needed = stored(
-        classes.select("set_key", "text_key").join(crowd.select("set_key").distinct(), "set_key", "left_semi"), "needed"
+    crowd = tables.put("crowd", _crowd(signatures)).withColumn("prefix", prefix)
+    tables.drop("labelled")
+    needed = tables.put(
+        "needed",
+        classes.select("set_key", "text_key").join(crowd.select("set_key").distinct(), "set_key", "left_semi"),
     )
-    sets = stored(_sets(docs, needed), "sets")
-    links = stored(confirmed(_first_pairs(crowd), sets), "links")
+    sets = tables.put("sets", _sets(docs, needed))
+    links = tables.put("first", confirmed(_first_pairs(crowd), sets))
     known = components(links)
-    more = stored(confirmed(_second_pairs(crowd, known), sets), "links")
+    mixed = tables.put("mixed", _mixed_regions(crowd, known))
+    more = tables.put("second", confirmed(_second_pairs(mixed, tables), sets))
     if more.limit(1).count():
         links = links.union(more)
         known = components(links)
-    dense = stored(_dense(crowd, known), "dense")
+    dense = tables.put("dense", _dense(mixed, known))
     if dense.limit(1).count():
-        more = stored(confirmed(_third_pairs(dense, sets), sets), "links")
+        more = tables.put("third", confirmed(_third_pairs(dense, sets), sets))
         if more.limit(1).count():
             known = components(links.union(more))
+    tables.drop("crowd", "needed", "sets", "first", "mixed", "neighbours", "second", "dense")
     ids = classes.select("set_key", "first_id").join(known.withColumnRenamed("node", "set_key"), "set_key", "left")
     ids = ids.select("set_key", "first_id", F.coalesce("root", "set_key").alias("root"))
     lowest = ids.groupBy("root").agg(F.min("first_id").alias("component_id"))
