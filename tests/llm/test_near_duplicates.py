@@ -136,3 +136,24 @@ def test_kept_documents_of_null_and_repeated_ids(docs):
     kept = Counter((r.doc_id, (r.text or "").lower().replace("  ", " ")) for r in op.keep_one(docs(pairs)).collect())
     want = [(3, a), (7, b), (None, b + " x y z 1 2 3 4 5"), (None, c), (None, ""), (None, " ")]
     assert kept == Counter([*want, (9, "u v w x y z u v"), (None, "1 2 3 4 5 6")])
+
+
+@pytest.mark.parametrize("reach", [1, 3])
+def test_neighbours_across_partitions(spark, tmp_path, monkeypatch, reach):
+    from scrimtally.llm.base import Written
+
+    monkeypatch.setattr(op, "REGION", reach + 1)
+    r = random.Random(reach)
+    rows = []
+    for i in range(300):
+        label = bytes([r.randrange(4)] * 12 + [r.randrange(3) for _ in range(12)])
+        rows.append((r.randrange(3), label, i.to_bytes(2, "big"), r.randrange(90, 130), bytes([r.randrange(5)])))
+    rows.sort(key=lambda x: x[:3])
+    want = set()
+    for i, a in enumerate(rows):
+        for b in rows[i + 1 : i + 1 + reach]:
+            if a[0] == b[0] and a[1][:12] == b[1][:12] and a[4] != b[4] and 100 * min(a[3], b[3]) >= 75 * max(a[3], b[3]):
+                want.add((min(a[2], b[2]), max(a[2], b[2])))
+    data = spark.createDataFrame(rows, "tree int, label binary, set_key binary, n bigint, root binary")
+    got = op._second_pairs(data, Written(spark)).collect()
+    assert {(bytes(x.a), bytes(x.b)) for x in got} == want and len(got) == len(want)
