@@ -1,8 +1,8 @@
 """Shards by fixed virtual slots.
 
 Records hash into a fixed number of virtual slots; bytes are summed per slot; a
-versioned map says which shard holds which slot. A record's virtual slot never
-changes, so a rebalance edits the map and moves whole slots, never single rows.
+versioned map says which shard holds which slot. A record's virtual slot (the one
+of its n-th repetition, where rows are equal) never changes, so a rebalance edits the map and moves whole slots, never single rows.
 Shard sizes are near equal in bytes: the map packs the largest slots first, and
 an edit moves slots from the fullest shard to the emptiest one.
 
@@ -11,8 +11,9 @@ position within its shard is the number of records in the shard's earlier
 virtual slots plus its rank in its own slot, so no task holds a shard.
 
 Cases: a null text counts 0 bytes plus the overhead and has the CRC of no bytes;
-a null id hashes like any other value; repeated rows share a virtual slot and
-take successive positions; an empty table gives an empty result; further
+a null id hashes like any other value; repeated rows spread over the virtual
+slots by their number among equal rows; of a long text only its size and checksum
+are moved; an empty table gives an empty result; further
 columns are ignored.
 """
 
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from scrimtally.llm.base import documents, stored
 
 SLOTS = 4096
+# equal rows that one task numbers at a time
+BLOCK = 1 << 16
 OVERHEAD = 8
 
 
@@ -34,10 +37,6 @@ def record_size(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("bigint")
 
 
-def virtual_slot(*key: Column, slots: int = SLOTS) -> Column:
-    return F.pmod(F.xxhash64(*key), F.lit(slots)).cast("int")
-
-
 def slot_sizes(records: DataFrame) -> DataFrame:
     """Bytes and rows per virtual slot; counted before the shuffle, so hot slots cost nothing."""
     return records.groupBy("virtual_slot").agg(
@@ -97,8 +96,8 @@ class SlotMap:
             shard_of[slot] = empty
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        rows = [(slot, shard, self.version) for slot, shard in sorted(self.shard_of.items())]
-        return spark.createDataFrame(rows, "virtual_slot int, shard int, map_version int")
+        rows = [(slot, shard, self.version, self.shards) for slot, shard in sorted(self.shard_of.items())]
+        return spark.createDataFrame(rows, "virtual_slot int, shard int, map_version int, shards int")
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Keep this version below ``path``; earlier versions stay."""
@@ -108,18 +107,33 @@ class SlotMap:
     def load(cls, spark: SparkSession, path: str, version: int) -> SlotMap:
         rows = spark.read.parquet(f"{path}/version={version}").collect()
         shard_of = {r.virtual_slot: r.shard for r in rows}
-        return cls(shard_of, max(shard_of.values(), default=0) + 1, version)
+        return cls(shard_of, rows[0].shards if rows else 1, version)
 
 
 def slotted(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """Documents with size, checksum and virtual slot."""
+    """Documents with size, checksum and virtual slot.
+
+    Equal rows are counted first and numbered then, in blocks that are dealt to
+    the tasks; the first one's slot depends on the record alone, the others' on
+    the record and their number.
+    """
     text = F.coalesce("text", F.lit(""))
-    return documents(docs).select(
+    records = documents(docs).select(
         "doc_id",
         record_size(F.col("text")).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        virtual_slot(F.col("doc_id"), F.col("text"), slots=slots).alias("virtual_slot"),
+        F.xxhash64("doc_id", "text").alias("record"),
     )
+    counted = records.groupBy("doc_id", "size", "text_crc32", "record").agg(F.count("*").alias("times"))
+    single = counted.filter("times = 1").withColumn("number", F.lit(0).cast("bigint"))
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.col("times") - 1, F.lit(BLOCK).cast("bigint"))
+    several = counted.filter("times > 1").withColumn("start", F.explode(blocks))
+    several = several.repartition("record", "start")
+    end = F.least(F.col("start") + BLOCK, F.col("times")) - 1
+    several = several.withColumn("number", F.explode(F.sequence("start", end))).drop("start")
+    slot = F.when(F.col("number") == 0, F.pmod("record", F.lit(slots)))
+    slot = slot.otherwise(F.pmod(F.xxhash64("record", "number"), F.lit(slots))).cast("int")
+    return single.unionByName(several).select("doc_id", "size", "text_crc32", slot.alias("virtual_slot"))
 
 
 def collected_sizes(records: DataFrame) -> list[tuple[int, int, int]]:

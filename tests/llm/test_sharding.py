@@ -44,3 +44,20 @@ def test_map_versions(spark, tmp_path):
         m.save(spark, str(tmp_path / "map"))
     assert sharding.SlotMap.load(spark, str(tmp_path / "map"), 0).shard_of == first.shard_of
     assert sharding.SlotMap.load(spark, str(tmp_path / "map"), 1).shard_of == grown.shard_of
+    wide = sharding.SlotMap({0: 0, 1: 1}, 24)
+    wide.save(spark, str(tmp_path / "wide"))
+    assert sharding.SlotMap.load(spark, str(tmp_path / "wide"), 0).shards == 24
+
+
+def test_equal_rows_spread(docs, monkeypatch):
+    monkeypatch.setattr(sharding, "BLOCK", 700)
+    pairs = [(i, "y" * (1000 + i % 9)) for i in range(6000)] + [(None, "x" * 2000)] * 3000
+    rows = sharding.assign(docs(pairs), 24).collect()
+    assert len(rows) == len(pairs)
+    size, places = Counter(), {}
+    for r in rows:
+        size[r.shard] += r.size
+        places.setdefault(r.shard, []).append(r.slot)
+    assert max(size.values()) - min(size.values()) < 0.02 * sum(size.values()) / 24
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert sum(r.doc_id is None for r in rows) == 3000
