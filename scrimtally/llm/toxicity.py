@@ -13,12 +13,15 @@ regression on the log-odds that any word is toxic, the expected number of toxic
 words, and the length. Labels come only from rows with ``is_held_out`` false;
 ids, languages, sources and labels are never inputs of a score.
 
-The fit uses at most ``FIT_DOCUMENTS`` labelled documents, taken in the order of
-a hash of their ids, and a lexicon of at most ``LEXICON`` entries.
+The fit uses at most ``FIT_DOCUMENTS`` labelled documents, half of them for each
+label, taken in the order of a hash of their ids, and a lexicon of at most
+``LEXICON`` entries; the labels are weighted back to their shares among all
+labelled documents. Only labels of documents that exist are looked at.
 
 Cases: a null text counts as empty and scores like any text without words; a
 null id is never held out and never labelled; several labels of an id count as
-their maximum, null labels are ignored; without labels of both kinds every score
+their maximum, null labels are ignored; of several texts of an id the fit uses
+one; a text costs time by its length and memory by its words; without labels of both kinds every score
 is 0; repeated rows score alike; an empty table gives an empty result; further
 columns are ignored.
 """
@@ -36,7 +39,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrimtally.llm.base import columns, documents
+from scrimtally.llm.base import columns, documents, stored
 
 FIT_DOCUMENTS = 20_000
 SEQUENCES = 3_000
@@ -155,15 +158,27 @@ class Chain:
         return [(m.start(), m.end(), toxic[i]) for i, m in enumerate(words) if i in toxic]
 
 
-def labelled_documents(docs: DataFrame, labels: DataFrame, limit: int = FIT_DOCUMENTS) -> DataFrame:
-    """(doc_id, text, toxic) of the labelled documents that are not held out, bounded by hash order."""
+def _of_each_label(rows: DataFrame, limit: int, order: list[Column]) -> DataFrame:
+    """At most half of ``limit`` rows of each label, the first ones in ``order``."""
+    clean, toxic = (rows.filter(F.col("toxic") == k).orderBy(*order).limit(limit // 2) for k in (0, 1))
+    return clean.unionByName(toxic)
+
+
+def labelled_ids(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of every document of ``docs`` with a label that is not held out, once for each id."""
     labels = columns(labels, (("doc_id", "bigint"), ("toxic", "int")))
     labels = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     labels = labels.filter(~is_held_out(F.col("doc_id")))
     labels = labels.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    return labels.join(documents(docs).select("doc_id"), "doc_id", "left_semi")
+
+
+def labelled_documents(docs: DataFrame, marked: DataFrame, limit: int = FIT_DOCUMENTS) -> DataFrame:
+    """(doc_id, text, toxic) of the bounded sample of ``marked``, in hash order for each label; one text for each id."""
+    chosen = _of_each_label(marked, limit, [F.xxhash64("doc_id"), F.col("doc_id")])
     # at most ``limit`` rows of two numbers
-    return documents(docs).join(F.broadcast(chosen), "doc_id")
+    found = documents(docs).join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id").agg(F.max("text").alias("text"), F.first("toxic").alias("toxic"))
 
 
 def lexicon_of(labelled: DataFrame) -> dict[str, int]:
@@ -252,14 +267,14 @@ def _climb(chain: Chain, sequences, steps: int = 25) -> None:
     _log_likelihood(values, chain, sequences)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> list[float]:
-    """Weights of a ridge-penalised logistic regression by Newton's method."""
+def _logistic(x: np.ndarray, y: np.ndarray, counts: np.ndarray) -> list[float]:
+    """Weights of a ridge-penalised logistic regression by Newton's method; a row counts as often as ``counts`` says."""
     scale = np.maximum(np.abs(x).max(axis=0), 1e-9)
     x, w = x / scale, np.zeros(x.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(len(w))
-        step = np.linalg.solve(hessian, x.T @ (y - p) - 0.05 * w)
+        hessian = (x * (counts * p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(len(w))
+        step = np.linalg.solve(hessian, x.T @ (counts * (y - p)) - 0.05 * w)
         w = w + step
         if np.abs(step).max() < 1e-6:
             break
@@ -268,12 +283,13 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> list[float]:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Chain | None:
     """The chain trained on a bounded sample of labelled documents; None without both labels."""
-    labelled = labelled_documents(docs, labels).persist()
+    marked = stored(labelled_ids(docs, labels), "labelled")
+    totals = {r.toxic: r.n for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if set(totals) != {0, 1}:
+        return None
+    labelled = labelled_documents(docs, marked).persist()
     try:
         lexicon = lexicon_of(labelled)
-        counts = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-        if set(counts) != {0, 1}:
-            return None
         shared = Chain(lexicon)
 
         def sequences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -291,18 +307,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> Chain | None:
 
         schema = "id bigint, toxic int, places array<int>, levels array<int>, n int"
         found = labelled.mapInPandas(sequences, schema)
-        rows = found.orderBy(F.xxhash64("id", F.lit(1)), "id", "n").limit(SEQUENCES).collect()
+        rows = _of_each_label(found, SEQUENCES, [F.xxhash64("id", F.lit(1)), F.col("id")]).collect()
     finally:
         labelled.unpersist()
     chain = Chain(lexicon)
     known = [(tuple(zip(r.places, r.levels, strict=True)), r.n, r.toxic) for r in rows]
-    _climb(chain, Counter(known))
+    # labels count in the proportion that they have among all labelled documents
+    taken = Counter(t for *_, t in known)
+    rate = {t: totals[t] / taken[t] * len(known) / sum(totals.values()) for t in taken}
+    _climb(chain, {key: times * rate[key[2]] for key, times in Counter(known).items()})
     chain.known, chain.powers = {}, {}
     x = []
     for places, n, _ in known:
         odds, marginal = chain.marginals(list(places), n)
         x.append([1.0, min(odds - chain.marginals([], n)[0], 50.0), math.log1p(sum(marginal)), math.log1p(n)])
-    chain.doc = _logistic(np.array(x), np.array([t for *_, t in known], float))
+    marks = [t for *_, t in known]
+    chain.doc = _logistic(np.array(x), np.array(marks, float), np.array([rate[t] for t in marks]))
     chain.powers = {}
     return chain
 

@@ -83,3 +83,16 @@ def test_spans():
     text = "é all fine, Zorkian said; zork!"
     assert [(text[a:b], p > 0.9) for a, b, p in chain.spans(text)] == [("Zorkian", True), ("zork", True)]
     assert chain.spans("") == [] and chain.spans("nothing here") == []
+
+
+def test_sample_of_the_fit(spark, docs):
+    pairs, labels = corpus(300)
+    data = docs([*pairs, *pairs[:40], (1, "another text of an id")])
+    marks = spark.createDataFrame(labels, LABELS)
+    foreign = spark.range(10_000, 210_000).selectExpr("id AS doc_id", "0 AS quality", "0 AS toxic")
+    plain = op.labelled_documents(data, op.labelled_ids(data, marks), 60).collect()
+    mixed = op.labelled_documents(data, op.labelled_ids(data, marks.unionByName(foreign)), 60).collect()
+    assert sorted(plain) == sorted(mixed) and len({r.doc_id for r in plain}) == len(plain) == 60
+    assert sum(r.toxic for r in plain) == 30
+    scores = [sorted(op.score_documents(docs(pairs), m).collect()) for m in (marks, marks.unionByName(foreign))]
+    assert scores[0] == scores[1]
