@@ -271,8 +271,10 @@ def _third_pairs(dense: DataFrame, sets: DataFrame) -> DataFrame:
     """
     rows = sets.join(dense, "set_key").withColumn("n", F.size("hashes"))
     rows = rows.select("set_key", "root", "n", F.explode("hashes").alias("h"))
-    often = rows.groupBy("h").agg(F.count("*").alias("often"))
-    place = F.row_number().over(Window.partitionBy("set_key").orderBy("often", "h"))
+    # shingles of one class alone are its rarest ones: they take the first places and are left behind
+    often = rows.groupBy("h").agg(F.count("*").alias("often")).filter("often > 1")
+    of_set = Window.partitionBy("set_key")
+    place = F.row_number().over(of_set.orderBy("often", "h")) + F.col("n") - F.count("*").over(of_set)
     rows = rows.join(often, "h").withColumn("place", place)
     rows = rows.filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
     rows = stored(rows.select("h", "set_key", "root", "n", "place"), "rare")
