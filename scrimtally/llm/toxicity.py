@@ -14,7 +14,7 @@ words, and the length. Labels come only from rows with ``is_held_out`` false;
 ids, languages, sources and labels are never inputs of a score.
 
 The fit uses at most ``FIT_DOCUMENTS`` labelled documents, half of them for each
-label, taken in the order of a hash of their ids, and a lexicon of at most
+label (a rare label leaves its places to the other one), taken in the order of a hash of their ids, and a lexicon of at most
 ``LEXICON`` entries; the labels are weighted back to their shares among all
 labelled documents. Only labels of documents that exist are looked at.
 
@@ -159,8 +159,12 @@ class Chain:
 
 
 def _of_each_label(rows: DataFrame, limit: int, order: list[Column]) -> DataFrame:
-    """At most half of ``limit`` rows of each label, the first ones in ``order``."""
-    clean, toxic = (rows.filter(F.col("toxic") == k).orderBy(*order).limit(limit // 2) for k in (0, 1))
+    """At most ``limit`` rows, the first ones in ``order``: half for each label, and what one leaves free for the other."""
+    half = limit // 2
+    taken = {r.toxic: min(half, r.n) for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    clean, toxic = (
+        rows.filter(F.col("toxic") == k).orderBy(*order).limit(limit - taken.get(1 - k, 0)) for k in (0, 1)
+    )
     return clean.unionByName(toxic)
 
 
