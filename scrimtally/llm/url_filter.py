@@ -8,15 +8,18 @@ fewer than ``LEAST`` times. A url's score is the difference of both
 log-likelihoods per character. The cut-off is calibrated on a fifth of the ruled
 urls that the counts leave out: the score that separates them best.
 
-Counts cover all other ruled urls. They are kept in hashed tables of a fixed
-size for each order, so the model that is sent to the tasks has a fixed bound
-(``2 * 2 * (ORDER + 1) * SLOTS`` numbers) on any input.
+Counts cover all other ruled urls. They are exact, keyed by order, context and
+next character, and stay a table that grows with the input. Urls are scored in
+blocks of about ``BLOCK`` bytes of different urls: a block asks once for each
+n-gram it holds, joins the counts and scores its urls with the answers, so no
+model is ever sent whole to a task or to the driver.
 
 Cases: a null url and one without ``://`` have an empty host and path, fit no
 rule and are judged by the method as the text they are (null: the empty text);
 repeated rows are judged alike and counted each; without urls of both kinds
 there is no model, and what no rule judges is allowed with the score 0; an
-empty table gives an empty result; further columns are ignored.
+empty table gives an empty result; further columns are ignored. A very long url
+is judged whole, in its block: it takes some hundred bytes of memory a character.
 """
 
 from __future__ import annotations
@@ -28,12 +31,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrimtally.llm.base import ascii_lower, columns
+from scrimtally.llm.base import Written, ascii_lower, columns
 
+# an n-gram of up to ORDER + 1 bytes and its order make one exact key of 64 bits
 ORDER = 5
-SLOT_BITS = 17
-SLOTS = 1 << SLOT_BITS
 LEAST = 3
+# bytes of different urls that are scored together
+BLOCK = 1 << 16
+# positions whose keys are held at a time
+PIECE = 1 << 17
 # pseudo-counts that the next shorter context has beside a context's own counts
 PRIOR = 4.0
 HELD_OUT = 5
@@ -64,88 +70,109 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return F.coalesce(*fits) if fits else F.lit(None).cast("string")
 
 
-# powers of an odd number: one for each place before a character, one for the character
-_PLACES = np.array([pow(0x9E3779B97F4A7C15, i + 1, 2**64) for i in range(ORDER + 1)], dtype=np.uint64)
+def positions(urls: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For every character (byte) of every url and its end: per order the keys of context and n-gram.
 
-
-def _slot(keys: np.ndarray) -> np.ndarray:
-    keys = (keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((keys ^ (keys >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)) >> np.uint64(64 - SLOT_BITS)
-
-
-def positions(urls: list[str]):
-    """For every character of every url and its end: per order the slots of context and n-gram.
-
-    Returns the index of each position's url and two arrays (orders x positions).
+    Yields, for at most PIECE positions at a time, the index of each position's url
+    and two arrays (orders x positions). A key holds the order, whether it is an
+    n-gram, and the bytes themselves: different ones never share a key.
     """
-    coded = [u.encode() for u in urls]
+    coded = [u.encode("utf-8", "surrogatepass") for u in urls]
     lead = bytes([1]) * ORDER
-    data = np.frombuffer(b"".join(lead + u + b"\x02" for u in coded), np.uint8).astype(np.uint64)
+    data = np.frombuffer(b"".join(lead + u + b"\x02" for u in coded), np.uint8)
     lengths = np.array([len(u) + 1 for u in coded], np.int64)
-    owner = np.repeat(np.arange(len(coded)), lengths)
-    start = np.cumsum(lengths + ORDER) - lengths
-    within = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    at = start[owner] + within
-    context = np.zeros(len(at), np.uint64)
-    contexts, grams = [], []
-    with np.errstate(over="ignore"):
-        last = (data[at] + np.uint64(1)) * _PLACES[0]
+    owners = np.repeat(np.arange(len(coded)), lengths)
+    # a url's places in the joined bytes begin behind its own lead
+    places = np.arange(len(owners)) + ORDER * (owners + 1)
+    for first in range(0, len(owners), PIECE):
+        owner, at = owners[first : first + PIECE], places[first : first + PIECE]
+        last = data[at].astype(np.int64)
+        context = np.zeros(len(at), np.int64)
+        contexts, grams = [], []
         for order in range(ORDER + 1):
             if order:
-                context = context + (data[at - order] + np.uint64(1)) * _PLACES[order]
-            contexts.append(_slot(context + np.uint64(order)))
-            grams.append(_slot(context + last + np.uint64(order)))
-    return owner, np.array(contexts, np.int64), np.array(grams, np.int64)
-
+                context = context | (data[at - order].astype(np.int64) << (8 * (order - 1)))
+            contexts.append(context | (order << 49))
+            grams.append((context << 8) | last | (order << 49) | (1 << 48))
+        yield owner, np.array(contexts), np.array(grams)
 
-def _tables() -> np.ndarray:
-    """Counts by label, kind (context, n-gram), order and slot."""
-    return np.zeros((2, 2, ORDER + 1, SLOTS), np.int64)
 
-
-def count(labelled: DataFrame) -> np.ndarray:
-    """Tables of counts over all rows (url, rejected 0 or 1), summed by Spark."""
+def count(labelled: DataFrame) -> DataFrame:
+    """Per key of ``labelled`` (url, rejected 0 or 1): how often accepted and rejected urls hold it."""
 
     def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables, seen = _tables(), False
         for batch in batches:
-            for label, part in batch.groupby("rejected"):
-                _, contexts, grams = positions(part["url"].tolist())
-                for order in range(ORDER + 1):
-                    for kind, slots in enumerate((contexts[order], grams[order])):
-                        tables[label, kind, order] += np.bincount(slots, minlength=SLOTS)
-                seen = True
-        if seen:
-            flat = tables.reshape(-1)
-            cells = np.flatnonzero(flat)
-            yield pd.DataFrame({"cell": cells, "n": flat[cells]})
-
-    summed = labelled.mapInPandas(tally, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
-    # at most one row for each cell of the fixed tables
-    rows = summed.toPandas()
-    flat = _tables().reshape(-1)
-    flat[rows["cell"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    return flat.reshape(2, 2, ORDER + 1, SLOTS)
-
-
-def log_likelihoods(tables: np.ndarray, contexts: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    """Log-probability of each position under a model (kind, order, slot)."""
+            weight, rejected = batch["weight"].to_numpy(np.int64), batch["rejected"].to_numpy(np.int64)
+            for owner, contexts, grams in positions(batch["url"].tolist()):
+                keys, at = np.unique(np.concatenate([contexts, grams]), return_inverse=True)
+                found = {"key": keys}
+                for label, name in enumerate(("accepted", "rejected")):
+                    n = np.where(rejected == label, weight, 0)[owner]
+                    # sums of whole numbers, exact up to 2^53 in a piece
+                    n = np.bincount(at.ravel(), np.tile(n, 2 * (ORDER + 1)), len(keys))
+                    found[name] = n.astype(np.int64)
+                yield pd.DataFrame(found)
+
+    # equal urls are counted before they are cut up
+    urls = labelled.groupBy("url", "rejected").agg(F.count("*").alias("weight"))
+    found = urls.mapInPandas(tally, "key bigint, accepted bigint, rejected bigint")
+    return found.groupBy("key").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
+
+
+def _found(table: np.ndarray, n: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The count of each key; ``table`` is sorted, keys outside it count nothing."""
+    if not len(table):
+        return np.zeros(keys.shape, np.int64)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return np.where(table[at] == keys, n[at], 0)
+
+
+def log_likelihoods(table: np.ndarray, n: np.ndarray, contexts: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Log-probability of each position under the model with the counts ``n`` of the keys ``table``."""
     p = np.full(contexts.shape[1], 1 / 256)
     for order in range(ORDER + 1):
-        seen = tables[0, order][contexts[order]]
-        found = np.minimum(tables[1, order][grams[order]], seen)
+        seen, found = _found(table, n, contexts[order]), _found(table, n, grams[order])
         p = np.where(seen >= (LEAST if order else 1), (found + PRIOR * p) / (seen + PRIOR), p)
     return np.log(p)
 
 
-def scores(tables: np.ndarray, urls: list[str]) -> np.ndarray:
-    """Per url: accepted minus rejected log-likelihood per character; 0 without a model."""
-    if not tables[0, 0, 0].any() or not tables[1, 0, 0].any():
-        return np.zeros(len(urls))
-    owner, contexts, grams = positions(urls)
-    gain = log_likelihoods(tables[0], contexts, grams) - log_likelihoods(tables[1], contexts, grams)
-    n = np.bincount(owner, minlength=len(urls))
-    return np.bincount(owner, gain, minlength=len(urls)) / n
+def _block_scores(urls: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+    """The scores of a block's urls by the counts of all keys that they hold."""
+    # one order, so that a second run adds up alike
+    texts = urls["url"].sort_values().tolist()
+    counts = counts.sort_values("key")
+    table, accepted, rejected = (counts[c].to_numpy(np.int64) for c in ("key", "accepted", "rejected"))
+    total, n = np.zeros(len(texts)), np.zeros(len(texts))
+    # the key of the empty context counts all positions of a label
+    known = len(table) and table[0] == 0 and accepted[0] and rejected[0]
+    for owner, contexts, grams in positions(texts):
+        n += np.bincount(owner, minlength=len(texts))
+        if known:
+            gain = log_likelihoods(table, accepted, contexts, grams) - log_likelihoods(table, rejected, contexts, grams)
+            total += np.bincount(owner, gain, minlength=len(texts))
+    return pd.DataFrame({"url": texts, "score": total / n})
+
+
+def scores(urls: DataFrame, counts: DataFrame, tables: Written) -> DataFrame:
+    """Per different url of ``urls`` (not null): accepted minus rejected log-likelihood per character; 0 without a model."""
+    different = tables.put("different", urls.select("url").distinct())
+    size = different.agg(F.sum(F.octet_length("url") + 1)).first()[0] or 0
+    blocks = max(1, -(-size // BLOCK))
+    parts = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = different.withColumn("block", F.pmod(F.xxhash64("url"), F.lit(blocks)))
+    dealt = tables.put("dealt", dealt.repartition(parts, "block").sortWithinPartitions("block"))
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for block, part in batch.groupby("block"):
+                for _, contexts, grams in positions(part["url"].tolist()):
+                    keys = np.unique(np.concatenate([contexts, grams]))
+                    yield pd.DataFrame({"block": np.full(len(keys), block), "key": keys})
+
+    asked = dealt.mapInPandas(ask, "block bigint, key bigint").distinct()
+    answers = asked.join(counts, "key").select("block", "key", "accepted", "rejected")
+    met = dealt.groupBy("block").cogroup(answers.groupBy("block"))
+    return tables.put("scores", met.applyInPandas(_block_scores, "url string, score double"))
 
 
 def cut_off(histogram: pd.DataFrame) -> float:
@@ -178,22 +205,20 @@ def judge(pages: DataFrame, rules: Sequence[Rule], id_column: str = "page_id") -
     labelled = ruled.filter(F.col("rule").isNotNull()).select("url", rejected.alias("rejected"))
     held_out = F.crc32(F.col("url").cast("binary")) % HELD_OUT == 0
 
-    tables = count(labelled.filter(~held_out))
-    # a fixed number of cells
-    shared = spark.sparkContext.broadcast(tables)
-
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for urls in batches:
-            yield pd.Series(scores(shared.value, urls.tolist()))
+    tables = Written(spark)
+    counts = tables.put("counts", count(labelled.filter(~held_out)))
+    text = F.coalesce("url", F.lit(""))
+    scored = scores(split.select(text.alias("url")), counts, tables)
+    tables.drop("different", "dealt", "counts")
 
     bounded = F.least(F.greatest(F.col("score"), F.lit(-SPAN)), F.lit(SPAN))
-    calibration = labelled.filter(held_out).select("rejected", score("url").alias("score"))
-    calibration = calibration.select("rejected", F.floor(bounded / STEP).alias("bin"))
+    calibration = labelled.filter(held_out).groupBy("url", "rejected").agg(F.count("*").alias("n"))
+    calibration = calibration.join(scored, "url").select("rejected", "n", F.floor(bounded / STEP).alias("bin"))
     # one row for each step of the bounded score at most
-    limit = cut_off(calibration.groupBy("rejected", "bin").agg(F.count("*").alias("n")).toPandas())
+    limit = cut_off(calibration.groupBy("rejected", "bin").agg(F.sum("n").alias("n")).toPandas())
 
-    judged = ruled.withColumn("score", score(F.coalesce("url", F.lit(""))))
+    scored = scored.withColumnRenamed("url", "__url")
+    judged = ruled.join(scored, text == F.col("__url"))
     by_rule = F.when(F.col("rule").isin(blocked), "block").otherwise("allow")
     by_score = F.when(F.col("score") >= limit, "allow").otherwise("block")
     return judged.select(
