@@ -9,13 +9,16 @@ features of the whole segment (digits, separators, checksum, neighbours) score
 it as a type. Dynamic programming over the run chooses boundaries and types
 jointly; segments that touch no base span are added. Base spans always stay.
 
-The field is trained on the base spans of at most ``FIT_RUNS`` runs, taken in the
-order of a hash, from all runs in which no pattern dropped an overlong match.
-Addresses with an ``@`` are base spans alone and cut a run.
+The field is trained on the base spans of at most ``FIT_RUNS`` different runs of up
+to ``FIT_LENGTH`` characters, taken in the order of a hash, from all runs in which
+no pattern dropped an overlong match. Equal runs between equal characters are one,
+so copies cannot fill the sample. Addresses with an ``@`` are base spans alone and
+cut a run.
 
 Cases: a null text counts as empty and has no spans; offsets are code points;
 repeated rows repeat their result; an empty table gives an empty result (and an
-untrained field, which adds nothing); further columns are ignored.
+untrained field, which adds nothing); further columns are ignored; a very long
+text or run of digits takes time and memory in proportion to its length.
 """
 
 from __future__ import annotations
@@ -36,12 +39,14 @@ from scrimtally.llm.base import documents
 KINDS = ("email", "ip", "card", "phone")
 MOST = 19
 FIT_RUNS = 4_000
+FIT_LENGTH = 200
 # code points around a run that its features can see
 MARGIN = 1
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# a match takes whole groups of digits: none starts or ends within one
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # every number pattern matches within such a run
@@ -78,7 +83,7 @@ def _numbers(run: str, offset: int) -> tuple[list[Span], bool]:
     found, overlong = [], False
     if "." in run:
         for m in _IP.finditer(run):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+            if all(len(p) <= 3 and int(p or "0") <= 255 for p in (g.lstrip("0") for g in m[0].split("."))):
                 found.append((offset + m.start(), 1, offset + m.end()))
     for m in _CARD.finditer(run):
         digits = re.sub("[^0-9]", "", m[0])
@@ -270,13 +275,14 @@ def fit(docs: DataFrame) -> np.ndarray:
             for text in batch["text"]:
                 for offset, run in runs(text or ""):
                     found, overlong = _numbers(run, 0)
-                    if not overlong and len(run) <= 200:
+                    if not overlong and len(run) <= FIT_LENGTH:
                         around = text[max(0, offset - 1) : offset][-1:] or " "
                         around += text[offset + len(run) : offset + len(run) + 1] or " "
                         rows.append((run, around, [list(s) for s in found]))
             yield pd.DataFrame(rows, columns=["run", "around", "spans"])
 
     found = documents(docs).select("text").mapInPandas(collect, "run string, around string, spans array<array<int>>")
+    found = found.dropDuplicates(["run", "around"])
     rows = found.orderBy(F.xxhash64("run", "around"), "run", "around").limit(FIT_RUNS).collect()
     return train([(r.run, r.around, [tuple(s) for s in r.spans]) for r in rows])
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from scrimtally.llm import pii as op
 
@@ -39,6 +40,25 @@ def test_base_spans_are_those_of_the_patterns():
         assert op.base_spans(text) == plain(text), text
 
 
+def test_long_runs_of_digits():
+    cases = ["1" * 200_000 + ".1", ".1" * 100_000, "0" * 6_000 + ".0.0.7", "1.2.3." + "9" * 5_000 + ".4.5.6.7"]
+    began = time.monotonic()
+    found = [[s for s in op.base_spans(text) if s[1] == 1] for text in cases]
+    assert time.monotonic() - began < 5
+    assert found[0] == [] and found[2] == [(0, 1, 6_006)]
+    assert len(found[1]) == 25_000 and found[1][:2] == [(1, 1, 8), (9, 1, 16)]
+    assert found[3] == [(5_007, 1, 5_014)]
+
+
+def test_copies_of_a_run_do_not_move_the_field(spark):
+    texts = [f"call {run} now" for run in examples(20)]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    copies = spark.createDataFrame([(i, " 3.0.3727. ") for i in range(op.FIT_RUNS + 1)], "doc_id bigint, text string")
+    one = op.fit(table.union(copies.limit(1)))
+    many = op.fit(table.union(copies))
+    assert (abs(one - many) < 1e-9).all()
+
+
 def examples(n=400):
     r = random.Random(2)
     out = []
