@@ -48,3 +48,16 @@ def test_the_match_count_is_computed_once(spark):
 
 def test_top_n_per_group_is_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan(QUERIES["popular_by_source"](spark, SF_DIR))
+
+
+def test_writes_by_folder_are_not_sorted(spark, tmp_path):
+    """Wide rows sorted by folder before the write spill where a task holds many of them."""
+    spark.sql(f"CREATE TABLE by_folder (id BIGINT, k STRING) USING parquet PARTITIONED BY (k) LOCATION '{tmp_path}/t'")
+    try:
+        rows = "SELECT id, CAST(id % 3 AS STRING) FROM range(9)"
+        text = spark.sql(f"EXPLAIN INSERT INTO by_folder {rows}").first()[0]
+        assert "Sort" not in text
+        spark.sql(f"INSERT INTO by_folder {rows}")
+        assert spark.table("by_folder").filter("k = '1'").count() == 3
+    finally:
+        spark.sql("DROP TABLE by_folder")
