@@ -1,6 +1,7 @@
 from .readers import (  # noqa: F401
     LAYOUT,
     SourceMissing,
+    delete_path,
     missing_tables,
     path_exists,
     present,
@@ -15,6 +16,7 @@ from .readers import (  # noqa: F401
     resolve_source,
 )
 from .writers import (  # noqa: F401
+    CODEC,
     append_log,
     export_tables,
     load_jdbc,

@@ -86,6 +86,24 @@ def test_documents_listed_without_an_id(spark, tmp_path):
     assert ingest(spark, str(tmp_path)) == (log, found)
 
 
+def test_parsed_documents_are_staged_compactly(spark, tmp_path, monkeypatch):
+    """Nested texts are neither cached nor shuffled; the stage goes, and known documents go before a join."""
+    def no_cache(self, *args):
+        raise AssertionError("parsed documents are cached")
+
+    monkeypatch.setattr(type(spark.range(1)), "persist", no_cache)
+    many = [(f"m{i}", match(f"m{i}", 2)) for i in range(30)]
+    put(spark, f"{tmp_path}/in", *many, *many[:5], ("bad", "{"), ("bad", "["), ("empty", match("empty", 0)))
+    log, found = ingest(spark, str(tmp_path))
+    assert log == sorted([(0, f"m{i}", "success") for i in range(30)] + [(0, "bad", "match_detail_error"), (0, "empty", "success")])
+    assert found == sorted((f"m{i}", p, 0) for i in range(30) for p in (1, 2))
+    put(spark, f"{tmp_path}/in", *many, ("bad", match("bad", 1)), ("new", match("new", 1)), (None, "{"))
+    log2, found2 = ingest(spark, str(tmp_path))
+    assert sorted(set(log2) - set(log)) == [(1, "None", "match_detail_error"), (1, "bad", "success"), (1, "new", "success")]
+    assert found2 == sorted([*found, ("bad", 1, 1), ("new", 1, 1)])
+    assert not IO.path_exists(spark, f"{tmp_path}/out/_stage/batch_id=*")
+
+
 def test_repeated_participants_within_a_document(spark, tmp_path):
     body = json.loads(match("a", 2))
     for i, p in enumerate(body["info"]["participants"]):
