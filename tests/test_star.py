@@ -40,6 +40,28 @@ def test_complete_matches_with_hot_ids(spark, tmp_path):
     assert "LeftSemi" in plan and "Limit" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_rows_of_other_matches_are_dropped_before_the_shuffle(spark, tmp_path):
+    """Wide rows of incomplete matches made up most of what the star build shuffled."""
+    few = spark.range(100).select(F.lit("a").alias("data_source"), F.concat(F.lit("m"), (F.col("id") % 10).cast("string")).alias("match_id"))
+    rest = spark.range(20_000).select(F.lit("a").alias("data_source"), F.concat(F.lit("x"), F.col("id").cast("string")).alias("match_id"))
+    few.union(rest).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    kept = A.possibly_in(rows, few.distinct(), S.MATCH_KEY)
+    assert kept.filter(F.col("match_id").startswith("m")).count() == 100
+    assert kept.count() < 120
+    assert A.possibly_in(rows, few.limit(0), S.MATCH_KEY).isEmpty()
+    off = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in off:
+        spark.conf.set(k, "-1")
+    try:
+        text = A.complete_matches(rows, 10)._jdf.queryExecution().executedPlan().toString()
+        assert text.index("SortMergeJoin") < text.index("Exchange") < text.index("BroadcastHashJoin")
+        assert A.complete_matches(rows, 10).count() == 100
+    finally:
+        for k, v in off.items():
+            spark.conf.set(k, v)
+
+
 def joins_in_place(df, key):
     """Of every join on ``key`` in the plan: is there no exchange below it?"""
     lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
