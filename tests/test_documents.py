@@ -1,4 +1,5 @@
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -82,6 +83,14 @@ def test_json_is_parsed_once(spark):
     assert plan.count("from_json") == 1
 
 
+def test_read_documents_are_not_parsed_again_for_their_status(spark):
+    counts = D.document_status_counts(raw(spark, match("a"), "{bad"), "_raw_json", S.MATCH_DOCUMENT)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    # what the second form reads is null unless the first one refused
+    inputs = re.findall(r"from_json\(ArrayType\(StringType,true\), (?:\([^)]*\), )*(CASE WHEN NOT|concat)", plan)
+    assert inputs and set(inputs) == {"CASE WHEN NOT"}
+
+
 def test_normalize_documents(spark, rows):
     docs = raw(spark, match("a", 4), match("b", 2, queue=450), match("c", 1, gameDuration=0))
     df = N.normalize_documents(docs)
