@@ -55,17 +55,28 @@ def _player(number: int, key: str, win: Column) -> Column:
     )
 
 
-def match_documents(spark: SparkSession, sf: str) -> DataFrame:
+# tasks a core for documents that are parsed where they are made
+TASKS_PER_CORE = 8
+
+
+def match_documents(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
     """One match per line item: its customer against its supplier.
 
     Some texts are cut off, go on behind the document, hold two documents or use single
     quotes; some hold a value of another type, some spell numbers in other ways.
+
+    ``spread`` deals the narrow rows over several tasks a core before texts are made. The
+    partitions of the join are merged by their bytes to about one a core, and uneven ones:
+    a row has few bytes, but its document takes long to make and parse.
     """
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"
     )
     j = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    if spread:
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+        j = j.repartition(parts, "l_orderkey", "l_partkey", "l_linenumber")
     part, won = F.col("l_partkey"), F.col("l_quantity") > 25
     match_id = F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_linenumber")])
     start = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
@@ -395,12 +406,12 @@ def register(reg: Registry) -> None:
     # ---- documents ----------------------------------------------------------
     add(
         "flatten_matches",
-        lambda s, d: D.flatten_matches(match_documents(s, d), source_tier="master", stamp=STAMP),
+        lambda s, d: D.flatten_matches(match_documents(s, d, spread=True), source_tier="master", stamp=STAMP),
         FLAT_SQL + f"SELECT {_flat_list()} FROM flat",
     )
     add(
         "document_status",
-        lambda s, d: D.document_status_counts(match_documents(s, d), "_raw_json", S.MATCH_DOCUMENT),
+        lambda s, d: D.document_status_counts(match_documents(s, d, spread=True), "_raw_json", S.MATCH_DOCUMENT),
         f"""SELECT CASE WHEN {BROKEN} THEN 'malformed' WHEN l_partkey % 89 = 0 THEN 'mistyped' ELSE 'ok' END AS doc_status,
   COUNT(*) AS documents FROM lineitem GROUP BY 1""",
     )
@@ -466,7 +477,7 @@ FROM orders GROUP BY 1""",
         lambda s, d: N.normalize_collected(collected(s, d)).select(*NORMAL),
         with_tables(COLLECTED_SQL, "common"),
     )
-    add("normalize_documents", lambda s, d: N.normalize_documents(match_documents(s, d)).select(*NORMAL), DOCUMENTS_SQL)
+    add("normalize_documents", lambda s, d: N.normalize_documents(match_documents(s, d, spread=True)).select(*NORMAL), DOCUMENTS_SQL)
     add(
         "union_normalized",
         lambda s, d: N.union_sources(

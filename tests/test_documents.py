@@ -1,8 +1,10 @@
 import json
 import re
+from datetime import date
 
 from pyspark.sql import functions as F
 
+from registry import ingest as I
 from scrimtally import schemas as S
 from scrimtally.operators import flatten as D
 from scrimtally.operators import normalize as N
@@ -91,6 +93,20 @@ def test_read_documents_are_not_parsed_again_for_their_status(spark):
     assert inputs and set(inputs) == {"CASE WHEN NOT"}
 
 
+def test_documents_are_made_in_several_tasks_a_core(spark, tmp_path):
+    n = 400
+    lines = [(i % 90, i % 50, i % 7, i, float(i % 50)) for i in range(n)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber bigint, l_quantity double").write.parquet(
+        f"{tmp_path}/lineitem.parquet"
+    )
+    orders = [(i, i % 11, date(2020, 1 + i % 12, 1)) for i in range(90)]
+    spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, o_orderdate date").write.parquet(f"{tmp_path}/orders.parquet")
+    plain, spread = (I.match_documents(spark, str(tmp_path), spread=s) for s in (False, True))
+    assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, plain.collect())) and spread.count() == n
+    tasks = [df.select(F.spark_partition_id()).distinct().count() for df in (plain, spread)]
+    assert tasks[0] < 2 * spark.sparkContext.defaultParallelism < tasks[1]
+
+
 def test_normalize_documents(spark, rows):
     docs = raw(spark, match("a", 4), match("b", 2, queue=450), match("c", 1, gameDuration=0))
     df = N.normalize_documents(docs)
