@@ -93,6 +93,16 @@ def test_read_documents_are_not_parsed_again_for_their_status(spark):
     assert inputs and set(inputs) == {"CASE WHEN NOT"}
 
 
+def test_malformed_texts_are_told_without_their_status(spark):
+    one = match("a", 1)
+    texts = [one, one + " junk", one.replace('"kills": 4', '"kills": "many"'), "{bad", "", None, "[1]", "null", "3", one.replace('"', "'")]
+    parsed = D.parse_documents(raw(spark, *texts), "_raw_json", S.MATCH_DOCUMENT)
+    assert [r.doc_malformed == (r.doc_status == D.STATUS_MALFORMED) for r in parsed.collect()] == [True] * len(texts)
+    # the types of all values are looked at for the status alone
+    plans = [parsed.select(c)._jdf.queryExecution().optimizedPlan().toString() for c in ("doc_status", "doc_malformed")]
+    assert ["exists(" in p for p in plans] == [True, False]
+
+
 def test_documents_are_made_in_several_tasks_a_core(spark, tmp_path):
     n = 400
     lines = [(i % 90, i % 50, i % 7, i, float(i % 50)) for i in range(n)]

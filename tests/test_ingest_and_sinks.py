@@ -4,12 +4,14 @@ import pytest
 from pyspark.sql import DataFrameReader, DataFrameWriter
 from pyspark.sql import functions as F
 
+from registry import ingest as queries
 from scrimtally import schemas as S
 from scrimtally import sources as IO
 from scrimtally.operators.quality import Rules
 from scrimtally.plans import stages
 from scrimtally.session import scratch_dir
 from scrimtally.streaming import incremental_ingest, ingested_log, ingested_matches
+from scrimtally.streaming import ingest as ingest_module
 from scrimtally.streaming.ingest import ingest_batch
 from test_documents import match
 
@@ -104,6 +106,37 @@ def test_parsed_documents_are_staged_compactly(spark, tmp_path, monkeypatch):
     assert not IO.path_exists(spark, f"{tmp_path}/out/_stage/batch_id=*")
 
 
+def test_one_large_file_is_parsed_by_several_tasks(spark, tmp_path, monkeypatch):
+    """A row group is read by one task; its documents are dealt over more, but not those that are known."""
+    monkeypatch.setattr(ingest_module, "FEW_DOCUMENTS", 50, raising=False)
+    body = F.replace(F.lit(match("name", 2)), F.lit("name"), F.col("match_id"))
+    docs = spark.range(400).select(F.concat(F.lit("m"), "id").alias("match_id")).withColumn("_raw_json", body)
+    for share in (docs, docs.unionByName(docs.withColumn("match_id", F.lit("bad")).limit(1))):
+        share.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        log, found = ingest(spark, str(tmp_path))
+    assert ingested_matches(spark, f"{tmp_path}/out").select(F.input_file_name()).distinct().count() > 1
+    assert log == sorted([(0, f"m{i}", "success") for i in range(400)] + [(1, "bad", "match_detail_error")])
+    assert found == sorted((f"m{i}", p, 0) for i in range(400) for p in (1, 2))
+
+
+def test_parts_are_written_as_several_files(spark, tmp_path, monkeypatch):
+    """A part is a batch, whatever its files; no file is empty."""
+    monkeypatch.setattr(queries, "ROWS_PER_FILE", 50, raising=False)
+    lines = spark.range(1200).selectExpr("id % 300 l_orderkey", "id % 50 l_partkey", "id % 7 l_suppkey", "id l_linenumber", "id % 50 + 0.5D l_quantity")
+    orders = spark.range(300).selectExpr("id o_orderkey", "id % 11 o_custkey", "DATE'2020-03-01' o_orderdate")
+    for name, data in (("lineitem", lines), ("orders", orders)):
+        data.write.parquet(f"{tmp_path}/{name}.parquet")
+    out = queries.ingested_in_parts(spark, str(tmp_path))
+    broken = F.expr(queries.BROKEN)
+    counts = {r[0]: (r[1], r[2]) for r in lines.groupBy(F.expr("l_orderkey % 3")).agg(F.count_if(~broken), F.count_if(broken)).collect()}
+    want = [(b, s, n) for b in counts for s, n in zip(("success", "match_detail_error"), counts[b], strict=True) if n]
+    want.append((3, "match_detail_error", counts[0][1] + counts[2][1]))
+    log = ingested_log(spark, f"{out}/out").groupBy("batch_id", "status").count()
+    assert sorted(map(tuple, log.collect())) == sorted(want)
+    sizes = spark.read.parquet(f"{out}/in").groupBy(F.input_file_name()).count()
+    assert sizes.count() == 4 * 8 and sizes.agg(F.min("count")).first()[0] > 0
+
+
 def test_repeated_participants_within_a_document(spark, tmp_path):
     body = json.loads(match("a", 2))
     for i, p in enumerate(body["info"]["participants"]):
