@@ -133,6 +133,12 @@ def test_parts_are_written_as_several_files(spark, tmp_path, monkeypatch):
     want.append((3, "match_detail_error", counts[0][1] + counts[2][1]))
     log = ingested_log(spark, f"{out}/out").groupBy("batch_id", "status").count()
     assert sorted(map(tuple, log.collect())) == sorted(want)
+    # the other ingest queries make their documents in several tasks a core
+    spread = []
+    monkeypatch.setattr(queries, "match_documents", lambda s, d, spread=False, tasks=None, seen=spread: seen.append(spread) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        queries.ingested(spark, str(tmp_path))
+    assert spread == [True]
     sizes = spark.read.parquet(f"{out}/in").groupBy(F.input_file_name()).count()
     assert sizes.count() == 4 * 8 and sizes.agg(F.min("count")).first()[0] > 0
 
