@@ -112,3 +112,87 @@ def test_links_below_many_open_elements():
     # the end of an inner element never ends the link around it
     text = "<p>" + "<b>" * 100 + "<a>in<b>side</b> it</a> behind</p>"
     assert [b[2:] for b in op.blocks(text)] == [("inside it behind", 9)]
+
+
+def menu(n, word="menu"):
+    return "<ul>" + "".join(f'<li><a href="/{i}">{word} {i}</a></li>' for i in range(n)) + "</ul>"
+
+
+PROSE = f"<p>{LONG}</p>" * 3
+PROSE_TEXT = "\n".join([LONG.strip()] * 3)
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        # a name or a form around the whole page
+        f'<div class="layout has-sidebar"><article>{PROSE}</article><div class="sidebar">{LONG}</div></div><footer>{LONG}</footer>',
+        f'<div class="legal-news"><article>{PROSE}</article></div>',
+        f'<div class="layout has-sidebar"><div class="sidebar">side</div><div>{PROSE}</div></div>',
+        f"<form>{PROSE}</form>",
+        f'<a href="#x">Skip</a><form><nav>{menu(3)} more</nav><div>{PROSE}</div><footer>us</footer></form>',
+        f'<article class="post sponsored">{PROSE}<form>{LONG}</form></article>',
+        # teasers beside the text
+        "".join(f'<article class="card"><h3>Card {i}</h3><p>A few words, that say what you can read.</p></article>' for i in range(3))
+        + f"<main>{PROSE}</main>",
+        # links within the article
+        f'<article><p>{LONG}</p>{menu(8, "Buy thing number")}<p>{LONG}</p><div><a href="/x">Get 50% off, click here!</a></div><p>{LONG}</p></article>',
+        # readers write more than the author
+        f'<article>{PROSE}</article><ol class="comment-list"><li><article><p>{LONG * 9}</p></article></li></ol>',
+    ],
+)
+def test_mixed_layouts(body):
+    assert op.main_text(page(body)) == PROSE_TEXT
+
+
+def test_left_out_containers_alone_give_no_text():
+    for body in (f"<footer>{LONG}</footer>", f"<nav>{menu(3)}</nav>", f'<div class="cookie-notice">{LONG}</div>', f'<div class="comments">{LONG}</div>'):
+        assert op.main_text(page(body)) == ""
+
+
+def test_the_ratios_decide(monkeypatch):
+    """Without text and punctuation a block, or without the share of links, the result is another."""
+    unnamed = page(f"<div>{menu(9, 'see')}</div><div>{PROSE}</div><div><span>Tiny</span></div>")
+    linked = page(f"<article>{PROSE}{menu(8)}<h2><a>Own title</a></h2><p>See <a>this</a>, too.</p></article>")
+    want = [op.main_text(p) for p in (unnamed, linked)]
+    assert want == [PROSE_TEXT, PROSE_TEXT + "\nOwn title\nSee this, too."]
+    with monkeypatch.context() as patch:
+        patch.setattr(op, "ratios", lambda kept: {b[0]: 1.0 for b in kept})
+        assert op.main_text(unnamed) != want[0]
+    with monkeypatch.context() as patch:
+        patch.setattr(op, "_unlinked", lambda text, linked: len(text))
+        assert op.main_text(linked) != want[1]
+
+
+def test_scores_against_a_plain_version():
+    """Path by path and block by block, as the module describes them."""
+    import math
+    import random
+    import re
+
+    dice = random.Random(5)
+    for _ in range(200):
+        found = []
+        for _ in range(dice.randint(1, 30)):
+            text = "".join(dice.choice("ab ,.") for _ in range(dice.randint(1, 60))).strip() or "x"
+            tag = dice.choice(["p", "li", "h2"])
+            found.append((dice.choice([1, 2, 3]) + 3 * (tag == "h2"), ("article", tag, None), text, dice.randint(0, len(text))))
+        ratio = op.ratios(found)
+        score = op.scores(found, ratio)
+        plain = {}
+        for path in {b[0] for b in found}:
+            own = [b for b in found if b[0] == path]
+            chars = sum(len(b[2]) - b[3] + 0.2 * b[3] for b in own) / len(own)
+            marks = sum(len(re.findall("[,.]", b[2])) for b in own) / len(own)
+            plain[path] = math.log(1 + chars) + math.log(1 + marks)
+            assert ratio[path] == pytest.approx(plain[path])
+        for path in plain:
+            near = []
+            for i, b in enumerate(found):
+                if b[0] == path:
+                    before, after = found[max(0, i - 1)], found[min(len(found) - 1, i + 1)]
+                    near.append(plain[before[0]] / 4 + plain[path] / 2 + plain[after[0]] / 4)
+            own = [b for b in found if b[0] == path]
+            outside = sum(max(len(b[2]) - b[3], len(b[2]) / 2 if b[1][1] == "h2" else 0) for b in own)
+            share = outside / sum(len(b[2]) for b in own)
+            assert score[path] == pytest.approx(sum(near) / len(near) * share**2)
