@@ -143,6 +143,19 @@ def test_parts_are_written_as_several_files(spark, tmp_path, monkeypatch):
     assert sizes.count() == 4 * 8 and sizes.agg(F.min("count")).first()[0] > 0
 
 
+@pytest.mark.parametrize("few", [0, 9])
+def test_known_documents_are_dropped_before_a_shuffle(spark, tmp_path, monkeypatch, few):
+    """With more new ids than are broadcast, too; documents without an id stay."""
+    monkeypatch.setattr(ingest_module, "FEW_IDS", few)
+    ids = [*(f"m{i}" for i in range(200)), "x", "y", "y", None, None]
+    docs = spark.createDataFrame([(i, "{}") for i in ids], S.RAW_MATCHES)
+    log = spark.createDataFrame([(f"m{i}", "success") for i in range(200)] + [("y", "match_detail_error")], "match_id string, status string")
+    left = ingest_module._unknown(docs, log, str(tmp_path))
+    assert sorted(str(r.match_id) for r in left.collect()) == ["None", "None", "x", "y", "y"]
+    # a semi join that is broadcast comes before the exact one
+    assert "LeftSemi" in left._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_repeated_participants_within_a_document(spark, tmp_path):
     body = json.loads(match("a", 2))
     for i, p in enumerate(body["info"]["participants"]):
